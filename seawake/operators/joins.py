@@ -31,7 +31,8 @@ def _bucket(ts: Column) -> Column:
     seconds = [int((t - datetime(1970, 1, 1)).total_seconds()) for t in (FIRST_BUCKET_TIME, LAST_BUCKET_TIME)]
     first, last = (s // BUCKET_SECONDS for s in seconds)
     number = F.floor(F.unix_seconds(ts.cast("timestamp")) / BUCKET_SECONDS)
-    return F.greatest(F.lit(first), F.least(F.lit(last), number))
+    # greatest and least skip nulls, a missing time must stay missing
+    return F.when(number.isNotNull(), F.greatest(F.lit(first), F.least(F.lit(last), number)))
 
 
 def range_join(

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seawake.functions.cells import s2_cell
 from seawake.functions.geo import distance_m
 from seawake.functions.scalars import grid_index
 from seawake.operators.slices import lag_within_key
@@ -211,10 +212,11 @@ def regions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def grid_measures(corners: DataFrame) -> DataFrame:
-    """Spatial measures for nine tenths of the cells at lon, lat of the given rows."""
+    """Spatial measures for about nine tenths of the cells at lon, lat of the given rows."""
     x, y = F.col("x"), F.col("y")
     cells = corners.select(grid_index(F.col("lon")).alias("x"), grid_index(F.col("lat")).alias("y")).distinct()
-    return cells.filter((x * 7 + y) % 10 != 0).select(
+    missing = (F.floor(x / 100) * 7 + F.floor(y / 100) * 3 + x + y) % 10 == 0
+    return cells.filter(~missing).select(
         F.format_string("lon:%+07.2f_lat:%+07.2f", x / 100.0, y / 100.0).alias("gridcode"),
         (F.abs((x * 31 + y * 17) % 1000) * 100.0).alias("distance_from_shore_m"),
         (F.abs((x * 13 + y * 29) % 1000) * 100.0).alias("distance_from_port_m"),
@@ -372,3 +374,13 @@ def encounters(spark: SparkSession, folder: str) -> DataFrame:
         (u % 50).alias("vessel_1_point_count"),
         (u % 40).alias("vessel_2_point_count"),
     )
+
+
+def covered_regions(regions: DataFrame, points: DataFrame) -> DataFrame:
+    """Sample regions with real S2 cells: those of all points whose box cell the region has."""
+    keyed = points.select(
+        box_cell(F.col("lon"), F.col("lat")).alias("box"), s2_cell(F.col("lon"), F.col("lat")).alias("cell")
+    ).distinct()
+    boxes = regions.select("layer", "id", F.explode("s2_cells").alias("box"))
+    cells = boxes.join(keyed, "box").groupBy("layer", "id").agg(F.collect_set("cell").alias("s2_cells"))
+    return regions.drop("s2_cells").join(cells, ["layer", "id"])
