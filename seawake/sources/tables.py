@@ -45,6 +45,21 @@ def drop_partitions(spark: SparkSession, name: str, month_column: str, months: l
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({month_column} = '{month}')")
 
 
+def overwrite(df: DataFrame, name: str, partitions: str) -> None:
+    """Replace all partitions (``static``) or only those with new rows (``dynamic``).
+
+    The session setting decides, an option of the writer does not reach an insert.
+    """
+    spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, partitions)
+    try:
+        df.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(setting, before)
+    spark.catalog.refreshTable(name)
+
+
 def write(
     df: DataFrame,
     name: str,
@@ -67,11 +82,11 @@ def write(
         .repartitionByRange(month_column, *order)
         .sortWithinPartitions(month_column, *order)
     )
-    writer = placed.write.mode(mode)
     if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "static")
-    writer.insertInto(name)
-    spark.catalog.refreshTable(name)
+        overwrite(placed, name, "static")
+    else:
+        placed.write.insertInto(name)
+        spark.catalog.refreshTable(name)
 
 
 def _rewrite_months(spark: SparkSession, name: str, month_column: str, months: list[str], doomed: Column) -> None:
@@ -80,12 +95,8 @@ def _rewrite_months(spark: SparkSession, name: str, month_column: str, months: l
     kept = rows.filter(~F.coalesce(doomed, F.lit(False)))
     left = {row[0] for row in kept.select(month_column).distinct().collect()}
     if left:
-        (
-            kept.repartitionByRange(month_column, *[c for c in ("seg_id", "event_start") if c in kept.columns])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(name)
-        )
+        order = [c for c in ("seg_id", "event_start") if c in kept.columns]
+        overwrite(kept.repartitionByRange(month_column, *order), name, "dynamic")
     drop_partitions(spark, name, month_column, [m for m in months if m not in left])
     spark.catalog.refreshTable(name)
 

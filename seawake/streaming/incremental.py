@@ -18,7 +18,7 @@ from seawake.operators.sessionize import as_instant, sessionize
 from seawake.operators.slices import with_group_max
 from seawake.session import ensure_checkpoint_dir
 from seawake.sources.schemas import STATE_SCHEMA, conform
-from seawake.sources.tables import drop_partitions, ensure_table, month_of, partitions
+from seawake.sources.tables import drop_partitions, ensure_table, month_of, overwrite, partitions
 
 UPSERT_KEYS = ["seg_id", "event_start", "timestamp"]
 STATE_COLUMNS = STATE_SCHEMA.names
@@ -214,13 +214,8 @@ def load_increment(
     if existing:
         counts = [F.count(F.when(F.col(MONTH) == m, 1)).alias(m) for m in existing]
         result = result.observe(observed, *counts)
-    (
-        result.repartitionByRange(MONTH, "seg_id", "timestamp")
-        .sortWithinPartitions(MONTH, "seg_id", "timestamp")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(state_table)
-    )
+    order = [MONTH, "seg_id", "timestamp"]
+    overwrite(result.repartitionByRange(*order).sortWithinPartitions(*order), state_table, "dynamic")
     if existing:
         emptied = [m for m, rows in observed.get.items() if rows == 0]
         drop_partitions(spark, state_table, MONTH, emptied)
