@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from seawake.config import EARTH_RADIUS_M
 
-TURN = 2 * math.pi
-# Bearings closer than this (radians) count as equal when a point is tested against an edge.
-BEARING_TOLERANCE = 1e-9
+# A point this close to a geodesic edge (in terms of tangents) lies on it.
+TOUCH_TOLERANCE = 1e-12
+BANDS_PER_DEGREE = 10
 
 
 def point(lon: Column, lat: Column) -> Column:
@@ -58,46 +56,85 @@ def dateline_bbox(
     )
 
 
-def _edges(ring: Column) -> Column:
-    """Pairs of successive vertices, the last one closing the ring."""
-    following = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
-    return F.arrays_zip(ring.alias("a"), following.alias("b"))
+# A point is inside a polygon if the meridian from it to the north pole crosses the
+# boundary an odd number of times, or an even number if the polygon holds that pole.
+# Only edges that span the point's longitude matter, so edges can be found by longitude.
 
 
-def _planar_crossing(lon: Column, lat: Column, a: Column, b: Column) -> Column:
-    straddles = (a["lat"] > lat) != (b["lat"] > lat)
-    at = a["lon"] + (lat - a["lat"]) * (b["lon"] - a["lon"]) / (b["lat"] - a["lat"])
-    return F.when(straddles, lon < at).otherwise(F.lit(False))
+def _check(edges: str) -> None:
+    if edges not in ("planar", "spherical"):
+        raise ValueError(f"edges must be planar or spherical, not {edges!r}")
 
 
-def _planar_touch(lon: Column, lat: Column, a: Column, b: Column) -> Column:
-    cross = (b["lon"] - a["lon"]) * (lat - a["lat"]) - (b["lat"] - a["lat"]) * (lon - a["lon"])
-    within = lon.between(F.least(a["lon"], b["lon"]), F.greatest(a["lon"], b["lon"])) & lat.between(
-        F.least(a["lat"], b["lat"]), F.greatest(a["lat"], b["lat"])
-    )
-    return (cross == 0) & within
+def _eastward(degrees: Column, edges: str) -> Column:
+    """A difference of longitudes, by the shorter way round on the sphere."""
+    return degrees if edges == "planar" else degrees - 360.0 * F.floor((degrees + 180.0) / 360.0)
 
 
-def _bearing(lon: Column, lat: Column, vertex: Column) -> Column:
-    step = F.radians(vertex["lon"] - lon)
-    phi, theta = F.radians(lat), F.radians(vertex["lat"])
-    return F.atan2(
-        F.sin(step) * F.cos(theta),
-        F.cos(phi) * F.sin(theta) - F.sin(phi) * F.cos(theta) * F.cos(step),
-    )
+def edge_list(rings: Column, edges: str) -> Column:
+    """All edges of all rings: start, signed width in longitude, and end latitude."""
+    _check(edges)
+
+    def of_ring(ring: Column) -> Column:
+        following = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
+        return F.zip_with(
+            ring,
+            following,
+            lambda a, b: F.named_struct(
+                F.lit("lon"),
+                a["lon"],
+                F.lit("lat"),
+                a["lat"],
+                F.lit("width"),
+                _eastward(b["lon"] - a["lon"], edges),
+                F.lit("end_lat"),
+                b["lat"],
+            ),
+        )
+
+    return F.flatten(F.transform(rings, of_ring))
+
+
+def holds_north_pole(rings: Column, edges: str) -> Column:
+    """Does a ring go round the north pole?  Polygons are smaller than a hemisphere."""
+    if edges == "planar":
+        return F.lit(False)
+
+    def total(ring: Column, part: str) -> Column:
+        return F.aggregate(edge_list(F.array(ring), edges), F.lit(0.0), lambda acc, e: acc + e[part])
 
+    around = F.filter(rings, lambda r: (F.abs(total(r, "width")) > 180) & (total(r, "lat") > 0))
+    return F.size(around) % 2 == 1
 
-def _wrapped(angle: Column) -> Column:
-    """Angle moved into [-pi, pi]."""
-    return angle - TURN * F.round(angle / TURN)
 
+def inside(lon: Column, lat: Column, edge_array: Column, pole: Column, edges: str, boundary: bool) -> Column:
+    """Is the point inside?  ``edge_array`` has at least the edges that span its longitude."""
+    _check(edges)
 
-def _turning(lon: Column, lat: Column, edge: Column) -> Column:
-    return _wrapped(_bearing(lon, lat, edge["b"]) - _bearing(lon, lat, edge["a"]))
+    def height_over(e: Column, off: Column) -> Column:
+        """Positive where the edge passes north of the point (times the sign of its width)."""
+        if edges == "planar":
+            return (e["end_lat"] - e["lat"]) * off - (lat - e["lat"]) * e["width"]
+        start, end, here = (F.tan(F.radians(x)) for x in (e["lat"], e["end_lat"], lat))
+        width, part = F.radians(e["width"]), F.radians(off)
+        return start * F.sin(width - part) + end * F.sin(part) - here * F.sin(width)
 
+    def crosses(e: Column) -> Column:
+        off = _eastward(lon - e["lon"], edges)
+        # half open, so that a vertex belongs to one of its two edges
+        east, west = (off >= 0) & (off < e["width"]), (off >= e["width"]) & (off < 0)
+        return (east & (height_over(e, off) > 0)) | (west & (height_over(e, off) < 0))
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+    def touches(e: Column) -> Column:
+        off = _eastward(lon - e["lon"], edges)
+        low, high = F.least(e["lat"], e["end_lat"]), F.greatest(e["lat"], e["end_lat"])
+        spanned = ((off >= 0) & (off <= e["width"])) | ((off <= 0) & (off >= e["width"]))
+        upright = (e["width"] != 0) | lat.between(low, high)
+        return spanned & upright & (F.abs(height_over(e, off)) <= (0.0 if edges == "planar" else TOUCH_TOLERANCE))
+
+    odd = F.size(F.filter(edge_array, crosses)) % 2 == 1
+    touched = F.exists(edge_array, touches)
+    return (touched | (odd != pole)) if boundary else ((odd != pole) & ~touched)
 
 
 def point_in(lon: Column, lat: Column, rings: Column, edges: str, boundary: bool) -> Column:
@@ -107,42 +144,20 @@ def point_in(lon: Column, lat: Column, rings: Column, edges: str, boundary: bool
     polygons smaller than a hemisphere).  ``boundary`` says whether points on
     an edge or vertex count as inside.
     """
-    if edges == "planar":
-
-        def inside_ring(ring: Column) -> Column:
-            crossings = F.filter(_edges(ring), lambda e: _planar_crossing(lon, lat, e["a"], e["b"]))
-            return F.size(crossings) % 2 == 1
-
-        def touches_ring(ring: Column) -> Column:
-            return F.exists(_edges(ring), lambda e: _planar_touch(lon, lat, e["a"], e["b"]))
-
-    elif edges == "spherical":
+    return inside(lon, lat, edge_list(rings, edges), holds_north_pole(rings, edges), edges, boundary)
 
-        def inside_ring(ring: Column) -> Column:
-            turns = _total(F.transform(_edges(ring), lambda e: _turning(lon, lat, e)))
-            x, y, z = unit_vector(lon, lat)
 
-            def ahead(v: Column) -> Column:
-                vx, vy, vz = unit_vector(v["lon"], v["lat"])
-                return x * vx + y * vy + z * vz > 0
+def longitude_band(lon: Column) -> Column:
+    return F.floor(lon * BANDS_PER_DEGREE)
 
-            # a ring around the antipode turns just as far, but lies wholly behind
-            return (F.abs(turns) > math.pi) & F.exists(ring, ahead)
 
-        def touches_ring(ring: Column) -> Column:
-            on_vertex = F.exists(ring, lambda v: (v["lon"] == lon) & (v["lat"] == lat))
-            on_edge = F.exists(
-                F.filter(
-                    _edges(ring),
-                    lambda e: (e["a"]["lon"] != e["b"]["lon"]) | (e["a"]["lat"] != e["b"]["lat"]),
-                ),
-                lambda e: F.abs(F.abs(_turning(lon, lat, e)) - math.pi) < BEARING_TOLERANCE,
-            )
-            return on_vertex | on_edge
-
-    else:
-        raise ValueError(f"edges must be planar or spherical, not {edges!r}")
-
-    touched = F.exists(rings, touches_ring)
-    inside = F.size(F.filter(rings, inside_ring)) % 2 == 1
-    return (touched | inside) if boundary else (~touched & inside)
+def bands_spanned(edge: Column, edges: str) -> Column:
+    """Longitude bands an edge touches, numbered as those of points."""
+    first = longitude_band(F.least(edge["lon"], edge["lon"] + edge["width"]))
+    last = longitude_band(F.greatest(edge["lon"], edge["lon"] + edge["width"]))
+    # one more on either side, against rounding of the edge's far end
+    bands = F.sequence(first - 1, last + 1)
+    if edges == "planar":
+        return bands
+    turn = 360 * BANDS_PER_DEGREE
+    return F.array_distinct(F.transform(bands, lambda b: F.pmod(b + turn // 2, F.lit(turn)) - turn // 2))

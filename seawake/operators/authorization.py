@@ -156,7 +156,7 @@ def authorization_status(authorized: Column) -> Column:
 def region_authorizations(authorized: Column) -> Column:
     """Sorted aggregate of ``{rfmo, has_publicly_listed_authorization}``."""
     entry = F.struct("rfmo", authorized.alias("has_publicly_listed_authorization"))
-    return F.array_sort(F.collect_list(entry))
+    return F.sort_array(F.collect_list(entry))
 
 
 # Status groups of an event: its regions are judged separately inside and outside an
@@ -194,7 +194,7 @@ def event_report(events: DataFrame, regions: DataFrame, groups: DataFrame, statu
     report = attach(attach(copies, regions, "left"), groups, "left")
     filled = {s: F.coalesce(s, F.lit(STATUS_AUTHORIZED)) for s in statuses}
     filled |= {
-        c: F.array_sort(F.flatten(F.array_repeat(F.coalesce(F.col(c), outside_any_region()), F.col("copies"))))
+        c: F.sort_array(F.flatten(F.array_repeat(F.coalesce(F.col(c), outside_any_region()), F.col("copies"))))
         for c in lists
     }
     return report.withColumns(filled)

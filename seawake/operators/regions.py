@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from seawake.config import REGION_LAYERS
 from seawake.functions.cells import s2_cell
-from seawake.functions.geo import point_in
+from seawake.functions.geo import bands_spanned, edge_list, holds_north_pole, inside, longitude_band
 from seawake.functions.scalars import gridcode, m_to_km
 
 
@@ -20,21 +20,48 @@ def with_cell(points: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFram
     return points.withColumn("cell", s2_cell(F.col(lon), F.col(lat)))
 
 
+def region_edges(regions: DataFrame, edges: str) -> DataFrame:
+    """Per region and longitude band, the polygon edges that touch the band.
+
+    A detailed coast has many thousand edges; a point is tested against the few
+    of its band, and the points of a vast region spread over its bands.
+    """
+    return (
+        regions.select(
+            "layer",
+            "id",
+            F.xxhash64("geo").alias("shape"),
+            holds_north_pole(F.col("geo"), edges).alias("pole"),
+            F.explode(edge_list(F.col("geo"), edges)).alias("edge"),
+        )
+        .withColumn("band", F.explode(bands_spanned(F.col("edge"), edges)))
+        .groupBy("layer", "id", "shape", "pole", "band")
+        # a region row that is repeated must not repeat its edges
+        .agg(F.collect_set("edge").alias("edges"))
+    )
+
+
 def match_regions(points: DataFrame, regions: DataFrame, mode: str, edges: str = "spherical") -> DataFrame:
     """Distinct ``(event_id, layer, id)`` of regions that hold a point of the event.
 
     ``points`` has event_id, lon, lat and cell.  ``mode`` is ``within``
     (boundary excluded) or ``intersects`` (included).  Equal cells give the
-    candidates; shapes, which are heavy, are joined to candidates only.
+    candidates, without any geometry; they meet the edges of their band.
     """
     if mode not in ("within", "intersects"):
         raise ValueError(f"mode must be within or intersects, not {mode!r}")
-    candidates = points.select("event_id", "lon", "lat", "cell").join(grid_regions(regions), "cell").drop("cell")
-    shapes = regions.select("layer", "id", F.xxhash64("geo").alias("shape"), "geo")
-    inside = point_in(F.col("lon"), F.col("lat"), F.col("geo"), edges, boundary=mode == "intersects")
+    candidates = (
+        points.select("event_id", "lon", "lat", "cell")
+        .join(grid_regions(regions), "cell")
+        .withColumn("band", longitude_band(F.col("lon")))
+        .drop("cell")
+    )
+    held = inside(
+        F.col("lon"), F.col("lat"), F.col("edges"), F.col("pole"), edges, boundary=mode == "intersects"
+    )
     return (
-        candidates.join(shapes, ["layer", "id", "shape"])
-        .filter(inside)
+        candidates.join(region_edges(regions, edges), ["layer", "id", "shape", "band"])
+        .filter(held)
         .select("event_id", "layer", "id")
         .distinct()
     )
@@ -42,15 +69,13 @@ def match_regions(points: DataFrame, regions: DataFrame, mode: str, edges: str =
 
 def regions_struct(matches: DataFrame) -> DataFrame:
     """Per event the sorted ids of every layer; a layer without match is an empty array."""
-    per_layer = [
-        F.array_sort(F.collect_set(F.when(F.col("layer") == layer, F.col("id")))).alias(layer)
-        for layer in REGION_LAYERS
-    ]
-    return (
-        matches.groupBy("event_id")
-        .agg(*per_layer)
-        .select("event_id", F.struct(*REGION_LAYERS).alias("regions_mean_position"))
-    )
+    # one small set per event; a set per layer would carry a dozen empty ones through the shuffle
+    found = matches.groupBy("event_id").agg(F.sort_array(F.collect_set(F.struct("layer", "id"))).alias("found"))
+
+    def ids(layer: str) -> Column:
+        return F.transform(F.filter("found", lambda r: r["layer"] == layer), lambda r: r["id"]).alias(layer)
+
+    return found.select("event_id", F.struct(*[ids(x) for x in REGION_LAYERS]).alias("regions_mean_position"))
 
 
 def with_distances(events: DataFrame, measures: DataFrame, lon: Column, lat: Column, side: str) -> DataFrame:

@@ -211,7 +211,7 @@ def point_lists(positions: DataFrame, slice_seconds: int = SessionRules.slice_se
             ).alias("geo"),
         ).alias("stop"),
     )
-    stops = F.array_sort(F.collect_list("stop"))
+    stops = F.sort_array(F.collect_list("stop"))
     slices = located.groupBy(*ROW_KEYS, "part").agg(stops.alias("stops")).select(
         *ROW_KEYS,
         F.struct(
@@ -222,7 +222,7 @@ def point_lists(positions: DataFrame, slice_seconds: int = SessionRules.slice_se
     )
     return (
         slices.groupBy(*ROW_KEYS)
-        .agg(F.array_sort(F.collect_list("slice")).alias("slices"))
+        .agg(F.sort_array(F.collect_list("slice")).alias("slices"))
         .select(
             *ROW_KEYS,
             F.array_join(F.transform("slices", lambda s: s["text"]), ", ").alias("points_wkt"),

@@ -42,7 +42,7 @@ def distinct_seg_ids(visits: DataFrame) -> DataFrame:
         visits.select("visit_id", F.explode("events.seg_id").alias("seg_id"))
         .groupBy("visit_id")
         # wrapped, because a set of plain values would lose null
-        .agg(F.array_sort(F.collect_set(F.struct("seg_id"))).alias("seen"))
+        .agg(F.sort_array(F.collect_set(F.struct("seg_id"))).alias("seen"))
         .select("visit_id", F.col("seen.seg_id").alias("seg_ids"))
     )
 

@@ -274,7 +274,7 @@ def port_visits(spark: SparkSession, folder: str) -> DataFrame:
     lines = (
         table(spark, folder, "lineitem")
         .groupBy("l_orderkey")
-        .agg(F.array_sort(F.collect_list(line)).alias("lines"))
+        .agg(F.sort_array(F.collect_list(line)).alias("lines"))
     )
     order = F.col("l_orderkey")
 

@@ -156,5 +156,15 @@ def test_geodesic_edges_bulge_poleward(spark):
     assert [r[0] for r in got] == [True, False]
 
 
+def test_polygons_around_the_poles(spark):
+    def cap(lat):
+        return [[(float(x), lat) for x in range(-180, 180, 30)]]
+
+    cases = [(cap(70.0), 80.0, True), (cap(70.0), 60.0, False), (cap(-70.0), -80.0, True), (cap(-70.0), 60.0, False)]
+    df = spark.createDataFrame(cases, f"rings {RINGS}, lat double, want boolean")
+    wrong = df.filter(point_in(F.lit(12.5), F.col("lat"), F.col("rings"), "spherical", True) != F.col("want"))
+    assert wrong.count() == 0
+
+
 def test_utc_session(spark):
     assert value(spark, F.lit("2024-01-01 00:00:00+00").cast("timestamp").cast("timestamp_ntz")) == datetime(2024, 1, 1)
