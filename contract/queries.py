@@ -530,20 +530,22 @@ def port_columns(df: DataFrame) -> DataFrame:
     )
 
 
+def published_port_visits(i: Inputs) -> DataFrame:
+    return ports.port_visit_events(
+        i.port_visits,
+        i.sample("vessels"),
+        i.anchorage_measures(),
+        i.s2_regions(),
+        i.sample("anchorages"),
+        LAST_DAY,
+        PREFIX,
+        edges="planar",
+    )
+
+
 @query
 def port_visit_events(i: Inputs) -> DataFrame:
-    return port_columns(
-        ports.port_visit_events(
-            i.port_visits,
-            i.sample("vessels"),
-            i.anchorage_measures(),
-            i.s2_regions(),
-            i.sample("anchorages"),
-            LAST_DAY,
-            PREFIX,
-            edges="planar",
-        )
-    )
+    return port_columns(published_port_visits(i))
 
 
 # --- loitering -----------------------------------------------------------------
@@ -567,9 +569,8 @@ def destination_fields() -> list[Column]:
     return [field("event_info", f"$.main_vessel_destination_port.{n}", f"port_{n}") for n in PORT_FIELDS]
 
 
-@query
-def loitering_events(i: Inputs) -> DataFrame:
-    events = loit.loitering_events(
+def published_loitering(i: Inputs) -> DataFrame:
+    return loit.loitering_events(
         i.loitering,
         i.sample("segment_info"),
         i.sample("segments"),
@@ -583,7 +584,11 @@ def loitering_events(i: Inputs) -> DataFrame:
         PREFIX,
         edges="planar",
     )
-    return events.select(
+
+
+@query
+def loitering_events(i: Inputs) -> DataFrame:
+    return published_loitering(i).select(
         "event_id",
         "event_type",
         "vessel_id",
@@ -645,9 +650,8 @@ def encounter_authorization(i: Inputs) -> DataFrame:
     )
 
 
-@query
-def encounter_events(i: Inputs) -> DataFrame:
-    events = enc.encounter_events(
+def published_encounters(i: Inputs) -> DataFrame:
+    return enc.encounter_events(
         i.sample("encounters"),
         i.sample("vessels"),
         i.sample("voyages"),
@@ -660,11 +664,14 @@ def encounter_events(i: Inputs) -> DataFrame:
         edges="planar",
     )
 
+
+@query
+def encounter_events(i: Inputs) -> DataFrame:
     def vessel(position: int) -> list[Column]:
         names = ("id", "ssvid", "name", "point_count", "type", "flag", "seg_ids", "public_authorizations")
         return [field("event_vessels", f"$[{position}].{n}", f"v{position + 1}_{n}") for n in names]
 
-    return events.select(
+    return published_encounters(i).select(
         "event_id",
         "event_type",
         "vessel_id",
@@ -745,3 +752,12 @@ def versioned_publish(i: Inputs) -> DataFrame:
     return spark.table(name).select(
         "event_id", "event_start", F.lit(current).alias("version"), F.lit(old_kept).alias("previous_exists")
     )
+
+
+# The four products as published, without the unpacking the checks need.
+PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
+    "authorize_events": authorized,
+    "port_visit_events": published_port_visits,
+    "loitering_events": published_loitering,
+    "encounter_events": published_encounters,
+}

@@ -17,7 +17,12 @@ def grid_regions(regions: DataFrame) -> DataFrame:
 
 
 def with_cell(points: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
-    return points.withColumn("cell", s2_cell(F.col(lon), F.col(lat)))
+    """Add the join key of the region lookup; 0, which is no cell, for a missing point.
+
+    A key that is never null keeps the join from filtering on it, which would
+    compute the cell a second time.
+    """
+    return points.withColumn("cell", F.coalesce(s2_cell(F.col(lon), F.col(lat)), F.lit(0).cast("long")))
 
 
 def region_edges(regions: DataFrame, edges: str) -> DataFrame:
