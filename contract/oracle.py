@@ -917,7 +917,7 @@ check(
 check(
     "versioned_publish",
     """
-    select event_id, start_timestamp as event_start, 'seawake_port_events_v20240310' as version, false as previous_exists
+    select event_id, start_timestamp as event_start, '_v20240310' as version, false as previous_exists
     from port_published
     """,
     "port_published",

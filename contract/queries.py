@@ -226,7 +226,7 @@ def three_mode_parity(i: Inputs) -> DataFrame:
         return state
 
     once = i.state()
-    empty = once.limit(0)
+    empty = once.filter(F.lit(False))
     daily = loads(empty, list(zip(days, days[1:])))
     again = loads(once, [(days[1], END), (days[2], END)])
     return _report(once, "once").unionByName(_report(daily, "daily")).unionByName(_report(again, "again"))
@@ -745,12 +745,17 @@ def range_deletion(i: Inputs) -> DataFrame:
 @query
 def versioned_publish(i: Inputs) -> DataFrame:
     """Publish two successive days; the view shows the second, and the first version is gone."""
-    spark, name = i.spark, "seawake_port_events"
+    spark = i.spark
+    # a name of its own for each session: folders of earlier sessions may still be there
+    name = "seawake_port_events_" + spark.sparkContext.applicationId.replace("-", "_")
     publish_versioned(i.port_events.filter(F.col("event_start") < "2024-01-02"), name, "2024-03-09")
     current = publish_versioned(i.port_events, name, "2024-03-10")
     old_kept = spark.catalog.tableExists(f"{name}_v20240309")
     return spark.table(name).select(
-        "event_id", "event_start", F.lit(current).alias("version"), F.lit(old_kept).alias("previous_exists")
+        "event_id",
+        "event_start",
+        F.lit(current.removeprefix(name)).alias("version"),
+        F.lit(old_kept).alias("previous_exists"),
     )
 
 
