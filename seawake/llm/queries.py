@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seawake.llm.common import documents
+from seawake.llm import bpe, packing, tokenfile
+from seawake.llm.common import documents, shared_folder
 from seawake.llm.exact import exact_groups
 from seawake.llm.simhash import simhash_components
 
@@ -13,12 +15,39 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_components(documents(spark, folder))
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    target = shared_folder(spark, "token-files")
+    manifest = tokenfile.write_token_files(documents(spark, folder), target, _tokenizer("byte_bpe_50k.json"))
+    rows = tokenfile.read_token_files(spark, target, manifest)
+    return rows.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, folder), _tokenizer("byte_bpe_50k.json"))
+
+
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(packing.pieces(documents(spark, folder), _tokenizer("word_bpe_49k.json")))
+    return packed.select(
+        F.col("id").alias("doc_id"), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(documents(spark, folder))
 
 
 LLM_QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_token_files": op2_token_files,
+    "op3_bpe": op3_bpe,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
