@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +17,14 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 GOLDEN = 0x9E3779B97F4A7C15
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever their working folder."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the checkpoint folder, which all executors share."""
+    let_workers_import(spark)
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
@@ -42,8 +49,13 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    let_workers_import(spark)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/documents.parquet")
+    return table(spark, folder, "documents")
 
 
 def strings(column: pa.ChunkedArray | pa.Array) -> list[str]:
