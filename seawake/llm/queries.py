@@ -9,6 +9,7 @@ from seawake.llm import bpe, packing, tokenfile
 from seawake.llm.common import documents, shared_folder
 from seawake.llm.exact import exact_groups
 from seawake.llm.simhash import simhash_components
+from seawake.llm.substrings import substring_digests
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,6 +40,10 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_digests(documents(spark, folder))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(documents(spark, folder))
 
@@ -48,6 +53,7 @@ LLM_QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_bpe": op3_bpe,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_substring_dedup": op6_substring_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
