@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seawake.llm import bpe, packing, tokenfile
-from seawake.llm.common import documents, shared_folder
+from seawake.llm import bpe, packing, tokenfile, toxicity
+from seawake.llm.common import documents, shared_folder, table
 from seawake.llm.exact import exact_groups
 from seawake.llm.simhash import simhash_components
 from seawake.llm.substrings import substring_digests
@@ -44,6 +44,12 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_digests(documents(spark, folder))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = documents(spark, folder), table(spark, folder, "labels")
+    model = toxicity.train(docs, labels.filter(~toxicity.held_out(labels["doc_id"])))
+    return toxicity.scores(docs, model).withColumn("held_out", toxicity.held_out(F.col("doc_id")))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(documents(spark, folder))
 
@@ -54,6 +60,7 @@ LLM_QUERIES = {
     "op3_bpe": op3_bpe,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_toxicity": op7_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
