@@ -49,8 +49,8 @@ GRAM = 8
 HOT = 1000
 BITS_PER_ANCHOR = 16
 HASHES = 2
-#: Words whose arrays are held at once, and words whose hashes a task keeps.
-CHUNK_WORDS = 200_000
+#: Bytes whose arrays are held at once (or one longer text), and words whose hashes a task keeps.
+CHUNK_BYTES = 1 << 20
 KEPT_WORDS = 500_000
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -99,18 +99,45 @@ def anchors(hashes: np.ndarray, lengths: np.ndarray, window: int, gram: int) ->
     return grams[own[first]], starts[first], starts[last], doc[starts[first]]
 
 
-def _chunks(texts: list[str], words_of: WordHashes) -> Iterator[tuple[int, list[bytes], np.ndarray, np.ndarray]]:
-    """Words of documents in bounded chunks: number of the first document, words, hashes, words of each."""
-    words: list[bytes] = []
-    lengths: list[int] = []
-    at = 0
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BYTE = _FACTORS[0]
+_BYTE_INVERSE = pow(_BYTE, -1, 1 << 64)
+_powers: list[np.ndarray] = []
+
+
+def _byte_powers(n: int) -> list[np.ndarray]:
+    """Powers of the byte factor and of its inverse, at least ``n`` of each."""
+    if not _powers or len(_powers[0]) < n:
+        size = max(n, 2 * CHUNK_BYTES)
+        _powers[:] = [np.r_[np.uint64(1), np.cumprod(np.full(size, f, np.uint64))] for f in (_BYTE, _BYTE_INVERSE)]
+    return _powers
+
+
+def _chunks(texts: list[str]) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Documents in bounded chunks: number of the first, bytes, starts and ends of words, their hashes, words of each.
+
+    Hashes are sums of bytes times powers, taken from running sums; they only
+    choose anchors, so that equal hashes of different words change no result.
+    """
+    raw: list[bytes] = []
+    at = size = 0
     for i, text in enumerate(texts):
-        own = text.encode("utf-8", "surrogatepass").split()
-        words += own
-        lengths.append(len(own))
-        if len(words) > CHUNK_WORDS or i == len(texts) - 1:
-            yield at, words, words_of(words), np.array(lengths)
-            words, lengths, at = [], [], i + 1
+        raw.append(text.encode("utf-8", "surrogatepass"))
+        size += len(raw[-1]) + 1
+        if size <= CHUNK_BYTES and i < len(texts) - 1:
+            continue
+        whole = b"\n".join(raw)
+        data = np.frombuffer(whole, np.uint8)
+        inside = np.r_[False, ~_SPACE[data], False]
+        starts = np.flatnonzero(inside[1:-1] & ~inside[:-2])
+        ends = np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
+        power, inverse = _byte_powers(len(data))
+        sums = np.r_[np.uint64(0), np.cumsum((data + np.uint64(1)) * power[: len(data)])]
+        hashes = mixed((sums[ends] - sums[starts]) * inverse[starts])
+        bounds = np.cumsum([0, *(len(r) + 1 for r in raw)])
+        lengths = np.diff(np.searchsorted(starts, bounds))
+        yield at, whole, starts, ends, hashes, lengths
+        raw, size, at = [], 0, i + 1
 
 
 class SuffixAutomaton:
@@ -183,29 +210,32 @@ class SuffixAutomaton:
         return out
 
 
-def repeated_windows(passages: list[str], counts: list[int], window: int) -> list[np.ndarray]:
+def repeated_windows(passages: list[str], counts: list[int], window: int) -> list[bytearray]:
     """For each distinct passage, which of its windows occur more than once in all of them."""
     words = [p.split(" ") for p in passages]
-    flags = [np.full(len(w) - window + 1, c > 1) for w, c in zip(words, counts, strict=True)]
-    if len(passages) == 1:
-        return flags
+    flags = [bytearray(b"\1" if c > 1 else b"\0") * (len(w) - window + 1) for w, c in zip(words, counts, strict=True)]
     automaton = SuffixAutomaton()
     for number, own in enumerate(words):
-        for end, first in automaton.repeats(own, window):
-            flags[number][end - window + 1] = True
-            flags[first >> 32][(first & 0xFFFFFFFF) - window + 1] = True
-        automaton.add(own, number)
+        if number:
+            for end, first in automaton.repeats(own, window):
+                flags[number][end - window + 1] = 1
+                flags[first >> 32][(first & 0xFFFFFFFF) - window + 1] = 1
+        if number < len(words) - 1:
+            automaton.add(own, number)
     return flags
 
 
-def _spans(flags: np.ndarray, start: int, window: int) -> list[tuple[int, int]]:
+def _spans(flags: bytearray, window: int) -> list[tuple[int, int]]:
     """Maximal spans of words that flagged windows cover."""
-    at = np.flatnonzero(flags)
-    if not len(at):
-        return []
-    breaks = np.flatnonzero(np.diff(at) > window)
-    firsts, lasts = at[np.r_[0, breaks + 1]], at[np.r_[breaks, len(at) - 1]]
-    return [(start + int(a), start + int(b) + window) for a, b in zip(firsts, lasts, strict=True)]
+    out = []
+    at = flags.find(1)
+    while at != -1:
+        last, stop = at, at + window
+        while (after := flags.find(1, last + 1, stop + 1)) != -1:
+            last, stop = after, after + window
+        out.append((at, stop))
+        at = flags.find(1, last + 1)
+    return out
 
 
 _RANGES = pa.schema([("id", pa.int64()), ("digest", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
@@ -229,87 +259,124 @@ def repeated_ranges(
     bits = filter_bits(letters // 6 * 2 // (window - gram + 2), BITS_PER_ANCHOR)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of = WordHashes()
         for b in batches:
-            for _, _, hashes, lengths in _chunks(strings(b.column(0)), words_of):
+            for *_, hashes, lengths in _chunks(strings(b.column(0))):
                 yield batch(pa.schema([("key", pa.int64())]), anchors(hashes, lengths, window, gram)[0].view(np.int64))
 
     plane = repeated_keys(rows.select("text").mapInArrow(keys, "key long"), bits, HASHES)
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of = WordHashes()
         for b in batches:
             ids, digests = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for at, words, hashes, lengths in _chunks(strings(b.column(2)), words_of):
+            for at, whole, starts, ends, hashes, lengths in _chunks(strings(b.column(2))):
                 key, first, last, doc = anchors(hashes, lengths, window, gram)
                 again = marked(key, plane.value, bits, HASHES)
-                begins = (np.cumsum(lengths) - lengths)[doc[again]]
-                for piece in range(0, int(again.sum()), 20_000):
+                key, first, last, doc = key[again], first[again], last[again], doc[again]
+                places = first - (np.cumsum(lengths) - lengths)[doc]
+                low, high = starts[first].tolist(), ends[last + window - 1].tolist()
+                for piece in range(0, len(key), 20_000):
                     part = slice(piece, piece + 20_000)
-                    f, e, d = first[again][part].tolist(), (last[again][part] + window).tolist(), doc[again][part].tolist()
-                    yield batch(
-                        _PASSAGES,
-                        key[again][part].view(np.int64),
-                        [ids[at + x] for x in d],
-                        [digests[at + x] for x in d],
-                        first[again][part] - begins[part],
-                        [b" ".join(words[x:y]).decode("utf-8", "surrogatepass") for x, y in zip(f, e, strict=True)],
-                    )
+                    d = (doc[part] + at).tolist()
+                    words = [b" ".join(whole[x:y].split()).decode("utf-8", "surrogatepass") for x, y in zip(low[part], high[part], strict=True)]
+                    yield batch(_PASSAGES, key[part].view(np.int64), [ids[x] for x in d], [digests[x] for x in d], places[part], words)
 
     around = stored(rows.mapInArrow(passages, _PASSAGES_DDL), "passages")
-    sizes = around.groupBy("anchor").count().filter("count > 1")
-    sizes = stored(sizes, "anchor-sizes")
-    crowded = sizes.filter(F.col("count") > hot).select("anchor")
-    usual = around.join(sizes.filter(F.col("count") <= hot).select("anchor"), "anchor")
+    crowded = stored(around.groupBy("anchor").count().filter(F.col("count") > hot).select("anchor"), "crowded-anchors")
+    crowds = not crowded.isEmpty()
+    usual = around.join(crowded, "anchor", "left_anti") if crowds else around
     shards = usual.select("anchor", "id", "digest", "start", "passage").repartition(n, "anchor").sortWithinPartitions("anchor")
     ranges = shards.mapInArrow(_shard(window), _RANGES_DDL)
-    if crowded.isEmpty():
-        return ranges
-    return ranges.union(_crowded_ranges(around.join(crowded, "anchor", "left_semi"), window))
+    return ranges.union(_crowded_ranges(around.join(crowded, "anchor", "left_semi"), window)) if crowds else ranges
 
 
 def _shard(window: int):
+    """Ranges of the passages of each anchor; a run of equal anchors is at most ``hot`` rows."""
+
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: list[tuple] = []
+        held_anchor = None
         for b in batches:
             anchor = b.column(0).to_numpy(zero_copy_only=False)
-            cuts = np.r_[0, np.flatnonzero(np.diff(anchor)) + 1, len(anchor)]
+            ids, digests, starts, texts = (b.column(i).to_pylist() for i in (1, 2, 3, 4))
+            cuts = np.r_[0, np.flatnonzero(np.diff(anchor)) + 1, len(anchor)].tolist()
             rows: list[tuple] = []
-            for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                piece = b.slice(start, stop - start)
-                if held and held[-1].column(0)[0] != piece.column(0)[0]:
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                if x and y - x == 1 and y < cuts[-1]:
+                    continue  # an anchor that came once after all
+                own = list(zip(ids[x:y], digests[x:y], starts[x:y], texts[x:y], strict=True))
+                if held_anchor is not None and held_anchor == anchor[x]:
+                    held += own
+                else:
                     rows += _of_anchor(held, window)
-                    held = []
-                held.append(piece)
+                    held, held_anchor = own, anchor[x]
             if rows:
                 yield batch(_RANGES, *zip(*rows, strict=True))
-        if held and (rows := _of_anchor(held, window)):
+        if rows := _of_anchor(held, window):
             yield batch(_RANGES, *zip(*rows, strict=True))
 
     return ranges
 
 
-def _of_anchor(parts: list[pa.RecordBatch], window: int) -> list[tuple]:
-    """Ranges of the passages of one anchor."""
-    if len(parts) == 1 and len(parts[0]) == 1:
+def _of_anchor(rows: list[tuple], window: int) -> list[tuple]:
+    """Ranges of the passages (id, digest, start, passage) of one anchor."""
+    if len(rows) < 2:
         return []
     own: dict[str, list[tuple]] = {}
-    for p in parts:
-        columns = (p.column(i).to_pylist() for i in (1, 2, 3, 4))
-        for doc_id, digest, start, passage in zip(*columns, strict=True):
-            own.setdefault(passage, []).append((doc_id, digest, start))
+    for doc_id, digest, start, passage in rows:
+        own.setdefault(passage, []).append((doc_id, digest, start))
+    if len(own) == 1:  # copies only: all of it repeats
+        size = rows[0][3].count(" ") + 1
+        return [(doc_id, digest, start, start + size) for doc_id, digest, start, _ in rows]
     flags = repeated_windows(list(own), [len(x) for x in own.values()], window)
     return [
-        (doc_id, digest, a, b)
+        (doc_id, digest, start + a, start + b)
         for places, flag in zip(own.values(), flags, strict=True)
-        if flag.any()
+        for a, b in _spans(flag, window)
         for doc_id, digest, start in places
-        for a, b in _spans(flag, start, window)
     ]
 
 
 def _crowded_ranges(around: DataFrame, window: int) -> DataFrame:
-    """Ranges of anchors with very many passages: passages, then windows, counted over all tasks."""
+    """Ranges of anchors with very many passages, counted over all tasks.
+
+    A Bloom filter of window hashes cuts each passage down to the windows that
+    may come again.  What is left of a shared passage is the same text for all
+    that share it, and is counted once for each text; only windows of distinct
+    texts are counted one by one.
+    """
+    texts = stored(around.groupBy("passage").agg(F.least(F.count(F.lit(1)), F.lit(2)).alias("times")), "crowded-texts")
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_of = WordHashes()
+        for b in batches:
+            found = [
+                np.tile(rolled(words_of(p.encode("utf-8", "surrogatepass").split()), window, _FACTORS[0]), times)
+                for p, times in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
+            ]
+            yield batch(pa.schema([("key", pa.int64())]), np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64))
+
+    bits = filter_bits(texts.count() * window, BITS_PER_ANCHOR)
+    plane = repeated_keys(texts.mapInArrow(keys, "key long"), bits, HASHES)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_of = WordHashes()
+        schema = pa.schema([f for f in _PASSAGES if f.name != "anchor"])
+        for b in batches:
+            rows = []
+            for doc_id, digest, start, passage in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                words = passage.encode("utf-8", "surrogatepass").split()
+                again = marked(rolled(words_of(words), window, _FACTORS[0]), plane.value, bits, HASHES)
+                for x, y in _spans(bytearray(again.tobytes()), 1):
+                    rows.append((doc_id, digest, start + x, b" ".join(words[x : y + window - 1]).decode("utf-8", "surrogatepass")))
+            if rows:
+                yield batch(schema, *zip(*rows, strict=True))
+
+    parts = around.select("id", "digest", "start", "passage").mapInArrow(cut, _PASSAGES_DDL.split(", ", 1)[1])
+    return _counted_ranges(stored(parts, "crowded-parts"), window)
+
+
+def _counted_ranges(around: DataFrame, window: int) -> DataFrame:
+    """Ranges of passages (id, digest, start, passage): passages, then windows, counted over all tasks."""
     texts = stored(around.groupBy("passage").agg(F.count(F.lit(1)).alias("times")), "crowded-passages")
     columns = [("first", pa.int64()), ("second", pa.int64()), ("passage", pa.string()), ("at", pa.int32())]
 
@@ -341,9 +408,10 @@ def _merged(window: int):
         for b in batches:
             rows = []
             for doc_id, digest, start, at, last in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                flags = np.zeros(last + 1, bool)
-                flags[slice(None) if at is None else at] = True
-                rows += [(doc_id, digest, x, y) for x, y in _spans(flags, start, window)]
+                flags = bytearray(b"\1" if at is None else b"\0") * (last + 1)
+                for i in at or ():
+                    flags[i] = 1
+                rows += [(doc_id, digest, start + x, start + y) for x, y in _spans(flags, window)]
             if rows:
                 yield batch(_RANGES, *zip(*rows, strict=True))
 
