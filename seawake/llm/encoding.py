@@ -16,8 +16,9 @@ import numpy as np
 
 #: Chunks kept by a worker; beyond, its table starts anew.
 KEPT_CHUNKS = 600_000
-#: Marks at the end of a word never share a token with it.
-_WORD_MARKS = re.compile(r"(.*[0-9A-Za-zÀ-ÖØ-öø-ɏ])([!-/:-@\[-`{-~]+)\Z", re.DOTALL)
+#: Marks at the end of a word never share a token with its last letter or digit; only well-known ones are cut.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_ENDS = frozenset(chr(c) for c in range(0x250) if chr(c).isalnum() and (c < 128 or c >= 0xC0))
 #: A special token ends the run like the end of a text does.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _SPACED = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
@@ -64,8 +65,10 @@ class ChunkEncoder:
         """Add keys; a word with marks at its end is put together from both."""
         split = {}
         for k in keys:
-            if not self.special.search(k) and (m := _WORD_MARKS.match(k)):
-                split[k] = (m[1], "\r" + m[2] if self.spaces_kept else m[2])
+            base = k.rstrip(_MARKS)
+            if len(base) < len(k) and base[-1:] in _ENDS and not self.special.search(k):
+                marks = k[len(base) :]
+                split[k] = (base, "\r" + marks if self.spaces_kept else marks)
         parts = {p for two in split.values() for p in two}
         new = list(((keys | parts) - split.keys()) - self.ids.keys())
         self.ids.update(zip(new, self.encode_many([self.spelled(k) for k in new]), strict=True))
