@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from seawake.llm import bpe, packing, tokenfile, toxicity
 from seawake.llm.common import documents, shared_folder, table
+from seawake.llm.embeddings import near_vectors
 from seawake.llm.exact import exact_groups
+from seawake.llm.languages import languages_of
 from seawake.llm.simhash import simhash_components
 from seawake.llm.substrings import substring_digests
+from seawake.llm.urls import judge
 
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,6 +36,10 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(documents(spark, folder), _tokenizer("byte_bpe_50k.json"))
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return languages_of(table(spark, folder, "pages"), documents(spark, folder))
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(packing.pieces(documents(spark, folder), _tokenizer("word_bpe_49k.json")))
     return packed.select(
@@ -50,18 +57,29 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scores(docs, model).withColumn("held_out", toxicity.held_out(F.col("doc_id")))
 
 
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(table(spark, folder, "pages"))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(documents(spark, folder))
 
 
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 LLM_QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
     "op3_bpe": op3_bpe,
+    "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 LLM_ORACLES = {
