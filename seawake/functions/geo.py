@@ -147,17 +147,25 @@ def point_in(lon: Column, lat: Column, rings: Column, edges: str, boundary: bool
     return inside(lon, lat, edge_list(rings, edges), holds_north_pole(rings, edges), edges, boundary)
 
 
-def longitude_band(lon: Column) -> Column:
+def _band(lon: Column) -> Column:
     return F.floor(lon * BANDS_PER_DEGREE)
 
 
+def _once_around(band: Column) -> Column:
+    """The same band in [-180, 180) degrees: on a sphere, 180 and -180 are one meridian."""
+    turn = 360 * BANDS_PER_DEGREE
+    return F.pmod(band + turn // 2, F.lit(turn)) - turn // 2
+
+
+def longitude_band(lon: Column, edges: str) -> Column:
+    """Longitude band of a point."""
+    return _band(lon) if edges == "planar" else _once_around(_band(lon))
+
+
 def bands_spanned(edge: Column, edges: str) -> Column:
     """Longitude bands an edge touches, numbered as those of points."""
-    first = longitude_band(F.least(edge["lon"], edge["lon"] + edge["width"]))
-    last = longitude_band(F.greatest(edge["lon"], edge["lon"] + edge["width"]))
+    first = _band(F.least(edge["lon"], edge["lon"] + edge["width"]))
+    last = _band(F.greatest(edge["lon"], edge["lon"] + edge["width"]))
     # one more on either side, against rounding of the edge's far end
     bands = F.sequence(first - 1, last + 1)
-    if edges == "planar":
-        return bands
-    turn = 360 * BANDS_PER_DEGREE
-    return F.array_distinct(F.transform(bands, lambda b: F.pmod(b + turn // 2, F.lit(turn)) - turn // 2))
+    return bands if edges == "planar" else F.array_distinct(F.transform(bands, _once_around))

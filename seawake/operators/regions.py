@@ -58,7 +58,7 @@ def match_regions(points: DataFrame, regions: DataFrame, mode: str, edges: str =
     candidates = (
         points.select("event_id", "lon", "lat", "cell")
         .join(grid_regions(regions), "cell")
-        .withColumn("band", longitude_band(F.col("lon")))
+        .withColumn("band", longitude_band(F.col("lon"), edges))
         .drop("cell")
     )
     held = inside(
