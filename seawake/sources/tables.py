@@ -6,8 +6,11 @@ partitions and Parquet statistics prune.
 
 from __future__ import annotations
 
+import json
+import uuid
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -15,6 +18,8 @@ from pyspark.sql.types import StructType
 from seawake.sources.schemas import EVENTS_SCHEMA, conform
 
 MONTH = "event_start_month"
+#: Table property that names a replacement of months which is written but not yet in place.
+PENDING = "seawake.pending"
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -40,9 +45,64 @@ def partitions(spark: SparkSession, name: str) -> list[str]:
     return [row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
 
 
-def drop_partitions(spark: SparkSession, name: str, month_column: str, months: list[str]) -> None:
-    for month in months:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({month_column} = '{month}')")
+def change_catalog(spark: SparkSession, statement: str) -> None:
+    """One statement that changes the catalog; such statements are the steps of a replacement."""
+    spark.sql(statement)
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def finish_replacement(spark: SparkSession, name: str) -> bool:
+    """Complete a replacement of months that was interrupted; was there one?
+
+    A replacement that was not announced in the table's properties has changed
+    nothing, and its files are never read.
+    """
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == PENDING).collect()
+    if not found:
+        return False
+    plan = json.loads(found[0]["value"])
+    column, present = plan["column"], set(partitions(spark, name))
+    for month in plan["written"]:
+        partition, place = f"PARTITION ({column} = '{month}')", f"{plan['folder']}/{column}={month}"
+        if month in present:
+            change_catalog(spark, f"ALTER TABLE {name} {partition} SET LOCATION '{place}'")
+        else:
+            change_catalog(spark, f"ALTER TABLE {name} ADD {partition} LOCATION '{place}'")
+    for month in plan["emptied"]:
+        change_catalog(spark, f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = '{month}')")
+    change_catalog(spark, f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
+    spark.catalog.refreshTable(name)
+    return True
+
+
+def replace_months(df: DataFrame, name: str, month_column: str, months: list[str]) -> None:
+    """Let ``df`` take the place of some months, and of any others it has rows of.
+
+    The new months are written to a folder of their own, which no reader looks
+    into.  One change of the table's properties then announces them, and the
+    catalog's partitions are pointed to them one by one; months left without
+    rows are dropped last.  Files that are being read are never written over.
+    Until the announcement an interruption changes nothing; after it,
+    :func:`finish_replacement` (which every replacement calls first) completes
+    the work.  Files of replaced months stay until a clean-up of the storage.
+    """
+    spark = df.sparkSession
+    finish_replacement(spark, name)
+    folder = f"{_location(spark, name)}/_replaced_{uuid.uuid4().hex}"
+    columns = spark.table(name).schema
+    df.select(*columns.names).write.partitionBy(month_column).parquet(folder)
+    try:
+        written = spark.read.schema(columns).parquet(folder).select(month_column).distinct().collect()
+    except AnalysisException:  # nothing was written at all
+        written = []
+    new = sorted(row[0] for row in written)
+    plan = {"column": month_column, "folder": folder, "written": new, "emptied": sorted(set(months) - set(new))}
+    change_catalog(spark, f"ALTER TABLE {name} SET TBLPROPERTIES ('{PENDING}' = '{json.dumps(plan)}')")
+    finish_replacement(spark, name)
 
 
 def overwrite(df: DataFrame, name: str, partitions: str) -> None:
@@ -93,12 +153,8 @@ def _rewrite_months(spark: SparkSession, name: str, month_column: str, months: l
     """Delete rows from some months; the other months are not read."""
     rows = spark.table(name).filter(F.col(month_column).isin(months))
     kept = rows.filter(~F.coalesce(doomed, F.lit(False)))
-    left = {row[0] for row in kept.select(month_column).distinct().collect()}
-    if left:
-        order = [c for c in ("seg_id", "event_start") if c in kept.columns]
-        overwrite(kept.repartitionByRange(month_column, *order), name, "dynamic")
-    drop_partitions(spark, name, month_column, [m for m in months if m not in left])
-    spark.catalog.refreshTable(name)
+    order = [c for c in ("seg_id", "event_start") if c in kept.columns]
+    replace_months(kept.repartitionByRange(month_column, *order), name, month_column, months)
 
 
 def in_range(column: str, first: str | date, last: str | date, inclusive: str = "both") -> Column:
@@ -127,6 +183,7 @@ def delete_range_from_table(
     month_column: str = MONTH,
 ) -> None:
     """``delete_range`` on a stored table; ``column`` is the one its months come from."""
+    finish_replacement(spark, name)
     months = [m for m in partitions(spark, name) if str(first)[:7] <= m <= str(last)[:7]]
     if months:
         _rewrite_months(spark, name, month_column, months, in_range(column, first, last, inclusive))

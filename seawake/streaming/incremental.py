@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seawake.config import SessionRules
@@ -18,7 +18,7 @@ from seawake.operators.sessionize import as_instant, sessionize
 from seawake.operators.slices import with_group_max
 from seawake.session import ensure_checkpoint_dir
 from seawake.sources.schemas import STATE_SCHEMA, conform
-from seawake.sources.tables import drop_partitions, ensure_table, month_of, overwrite, partitions
+from seawake.sources.tables import ensure_table, finish_replacement, month_of, partitions, replace_months
 
 UPSERT_KEYS = ["seg_id", "event_start", "timestamp"]
 STATE_COLUMNS = STATE_SCHEMA.names
@@ -179,13 +179,16 @@ def load_increment(
 
     The table is partitioned by the month of ``event_end_date``.  Rows ending
     before ``start - 1 day`` are only read where their month is rewritten.
-    A load that was interrupted is repaired by running it again.
+    New months are written beside the table and then put in place in the
+    catalog (see :func:`replace_months`); a load that was interrupted anywhere
+    is repaired by running it again.
     """
     ensure_checkpoint_dir(spark)
     # read four times below; on shared storage, so that a lost executor costs nothing
     delta = sessionize(messages, start, end, score_field, max_gap_hours).checkpoint()
 
     ensure_table(spark, state_table, STATE_SCHEMA, MONTH)
+    finish_replacement(spark, state_table)
     stored = spark.table(state_table)
     first_month = month_of(_day(start, 1))
 
@@ -202,24 +205,15 @@ def load_increment(
     in_range = (F.col(MONTH) >= first_month) | F.col(MONTH).isin(earlier_months)
     state = stored.filter(in_range).select(*STATE_COLUMNS)
 
-    before = truncate_state(state, start)
-    staged = merge_open_events(before, delta, start, max_gap_hours)
+    # each is read several times below, and the affected months only once
+    before = truncate_state(state, start).checkpoint()
+    staged = merge_open_events(before, delta, start, max_gap_hours).checkpoint()
     assert_unique(staged, UPSERT_KEYS)
     result = conform(upsert(before, staged, UPSERT_KEYS, reach_of(start)), STATE_SCHEMA)
     result = result.withColumn(MONTH, month_of(F.col("event_end_date")))
-
-    # An overwrite replaces the months it writes; a month left without rows must be dropped.
     existing = [m for m in partitions(spark, state_table) if m >= _month_text(start) or m in earlier_months]
-    observed = Observation()
-    if existing:
-        counts = [F.count(F.when(F.col(MONTH) == m, 1)).alias(m) for m in existing]
-        result = result.observe(observed, *counts)
     order = [MONTH, "seg_id", "timestamp"]
-    overwrite(result.repartitionByRange(*order).sortWithinPartitions(*order), state_table, "dynamic")
-    if existing:
-        emptied = [m for m, rows in observed.get.items() if rows == 0]
-        drop_partitions(spark, state_table, MONTH, emptied)
-    spark.catalog.refreshTable(state_table)
+    replace_months(result.repartitionByRange(*order).sortWithinPartitions(*order), state_table, MONTH, existing)
 
 
 def _month_text(start: str | date) -> str:

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from seawake.operators.sessionize import sessionize
 from seawake.sources.schemas import STATE_SCHEMA
+from seawake.sources import tables
 from seawake.sources.tables import partitions
 from seawake.streaming import incremental as inc
 from tests.helpers import at, messages, naive, track
@@ -58,6 +59,42 @@ def test_month_left_without_rows_is_dropped(spark):
     assert {r.event_end_date.month for r in spark.table(table).collect()} == {1}
 
 
+def test_interrupted_load_is_repaired_by_running_it_again(spark, monkeypatch):
+    """Stop at every change of the catalog, and before the first; then run the load again."""
+    rows = track([(i * 1800, 0.1 * i, 1.0) for i in range(6)], start="2024-01-31 23:00:00")
+    ranges = ("2024-01-31", "2024-02-01"), ("2024-02-01", "2024-02-02")
+    fewer = messages(spark, rows[:2])
+    want_table = "uninterrupted"
+    load(spark, rows, want_table, *ranges)
+    inc.load_increment(spark, fewer, want_table, "2024-02-01", "2024-02-02", FIELD)
+    want, plain, step = state_rows(spark.table(want_table)), tables.change_catalog, 0
+    while True:
+        table, done = f"stopped_{step}", 0
+        before = state_rows(load(spark, rows, table, *ranges))
+
+        def stop(session, statement):
+            nonlocal done
+            if done == step:
+                raise InterruptedError(statement)
+            done += 1
+            plain(session, statement)
+
+        monkeypatch.setattr(tables, "change_catalog", stop)
+        try:
+            inc.load_increment(spark, fewer, table, "2024-02-01", "2024-02-02", FIELD)
+            break
+        except InterruptedError:
+            if step == 0:
+                assert state_rows(spark.table(table)) == before  # not announced, nothing changed
+        finally:
+            monkeypatch.setattr(tables, "change_catalog", plain)
+        inc.load_increment(spark, fewer, table, "2024-02-01", "2024-02-02", FIELD)
+        assert state_rows(spark.table(table)) == want
+        assert partitions(spark, table) == ["2024-01"]
+        step += 1
+    assert step >= 4
+
+
 def test_event_cut_back_by_more_than_the_padding(spark):
     # the middle of the event is missing from the messages, so the cut goes back months
     rows = [
