@@ -168,3 +168,18 @@ def test_polygons_around_the_poles(spark):
 
 def test_utc_session(spark):
     assert value(spark, F.lit("2024-01-01 00:00:00+00").cast("timestamp").cast("timestamp_ntz")) == datetime(2024, 1, 1)
+
+
+def test_regions_across_the_dateline_keep_their_meridian(spark):
+    """180, -180 and 181 degrees lie in a box from 175 to -175, in both modes."""
+    from seawake.operators.regions import match_regions, match_regions_of_places, with_cell
+
+    box = [[(175.0, -10.0), (-175.0, -10.0), (-175.0, 10.0), (175.0, 10.0)]]
+    points = [("a", 180.0, 1.0), ("b", -180.0, 1.0), ("c", 179.99, 1.0), ("d", 181.0, 1.0), ("e", 170.0, 1.0), ("f", -184.0, 1.0)]
+    df = with_cell(spark.createDataFrame(points, "event_id string, lon double, lat double"))
+    cells = [r[0] for r in df.select("cell").distinct().collect()]
+    schema = "layer string, id string, geo array<array<struct<lon: double, lat: double>>>, s2_cells array<long>"
+    regions = spark.createDataFrame([("eez", "1", box, cells)], schema)
+    for mode in ("within", "intersects"):
+        assert {r["event_id"] for r in match_regions(df, regions, mode).collect()} == set("abcd") | {"f"}
+        assert {r["event_id"] for r in match_regions_of_places(df, regions, mode).collect()} == set("abcd") | {"f"}
