@@ -12,6 +12,7 @@ from seawake.config import (
     STATUS_UNMATCHED,
 )
 from seawake.functions.scalars import is_true, is_whitelisted_rfmo, null_key, overlaps
+from seawake.operators.joins import range_join
 
 IDENTITY_KEYS = ["ssvid", "n_shipname", "n_callsign", "imo", "flag"]
 GRANT = ["registry_rfmo", "registry_authorized_from", "registry_authorized_to"]
@@ -64,12 +65,15 @@ def last_scrape(authorizations: DataFrame) -> DataFrame:
 
 
 def activity_join(events: DataFrame, identities: DataFrame, ssvid: str, ts: str, how: str = "left") -> DataFrame:
-    """Registry entries of identities that used the ssvid when the event began."""
-    known = identities.withColumnRenamed("ssvid", "__ssvid")
-    active = F.col(ts).between(F.col("activity_first_timestamp"), F.col("activity_last_timestamp"))
-    return events.join(known, (F.col(ssvid) == F.col("__ssvid")) & active, how).drop(
-        "__ssvid", "activity_first_timestamp", "activity_last_timestamp"
-    )
+    """Registry entries of identities that used the ssvid when the event began.
+
+    Time buckets keep an ssvid that many vessels share from being compared
+    all with all; an identity without both bounds is never active.
+    """
+    first, last = "activity_first_timestamp", "activity_last_timestamp"
+    known = identities.withColumnRenamed("ssvid", "__ssvid").filter(F.col(first).isNotNull() & F.col(last).isNotNull())
+    placed = events.withColumn("__ssvid", F.col(ssvid))
+    return range_join(placed, known, ["__ssvid"], ts, first, last, how=how).drop("__ssvid", first, last)
 
 
 def vessel_authorizations(events: DataFrame, identities: DataFrame, ssvid: str, ts: str, vessel: str) -> DataFrame:

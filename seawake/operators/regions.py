@@ -72,6 +72,18 @@ def match_regions(points: DataFrame, regions: DataFrame, mode: str, edges: str =
     )
 
 
+def match_regions_of_places(points: DataFrame, regions: DataFrame, mode: str, edges: str = "spherical") -> DataFrame:
+    """As :func:`match_regions` for events that share positions: each position is looked up once.
+
+    ``points`` has event_id, lon and lat; its cells are computed here.
+    """
+    place = F.concat_ws(" ", F.col("lon").cast("string"), F.col("lat").cast("string"))
+    known = points.select("event_id", "lon", "lat").filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    places = with_cell(known.select("lon", "lat").distinct().select(place.alias("event_id"), "lon", "lat"))
+    found = match_regions(places, regions, mode, edges).withColumnRenamed("event_id", "place")
+    return known.select("event_id", place.alias("place")).join(found, "place").select("event_id", "layer", "id").distinct()
+
+
 def regions_struct(matches: DataFrame) -> DataFrame:
     """Per event the sorted ids of every layer; a layer without match is an empty array."""
     # one small set per event; a set per layer would carry a dozen empty ones through the shuffle

@@ -271,12 +271,13 @@ def event_boundaries(messages: DataFrame, rules: SessionRules = SessionRules())
     The end of a segment's last run is open (null).
     """
     ts = F.col("timestamp")
-    runs = tag_runs(messages, rules).groupBy("ssvid", "seg_id", "run_start").agg(
-        F.min_by(F.struct("score", "lat", "lon"), ts).alias("head"), F.max(ts).alias("last_message")
+    # a segment is one track even where its ssvid changes: the first message gives a run's ssvid
+    runs = tag_runs(messages, rules).groupBy("seg_id", "run_start").agg(
+        F.min_by(F.struct("ssvid", "score", "lat", "lon"), ts).alias("head"), F.max(ts).alias("last_message")
     )
     ends = messages.groupBy("seg_id").agg(F.max(ts).alias("segment_end"))
     return runs.join(ends, "seg_id").select(
-        "ssvid",
+        "head.ssvid",
         "seg_id",
         F.col("run_start").alias("event_start"),
         F.when(F.col("last_message") < F.col("segment_end"), F.col("last_message")).alias("event_end"),

@@ -44,7 +44,13 @@ def destination_port(events: DataFrame, port_events: DataFrame) -> DataFrame:
             for field in ("id", "flag", "name")
         ],
     )
-    return events.join(ports, "trip_end_visit_id", "left")
+    # most events have no visit; keys that meet no visit spread them over all tasks
+    plain = [F.col(c) for c, kind in events.dtypes if not kind.startswith(("map", "array", "struct"))]
+    nowhere = F.concat(F.lit("\0"), F.xxhash64(*plain).cast("string"))
+    keyed = events.withColumn("__visit", F.coalesce(F.col("trip_end_visit_id").cast("string"), nowhere))
+    ports = ports.withColumn("__port_visit", F.col("trip_end_visit_id").cast("string")).drop("trip_end_visit_id")
+    joined = keyed.join(ports, F.col("__visit") == F.col("__port_visit"), "left").drop("__visit", "__port_visit")
+    return joined.select("trip_end_visit_id", *[c for c in joined.columns if c != "trip_end_visit_id"])
 
 
 def destination_struct():

@@ -25,8 +25,9 @@ from seawake.operators.authorization import (
     with_last_scrape,
 )
 from seawake.operators.identity import vessel_attributes
-from seawake.operators.regions import match_regions, regions_struct, with_cell, with_distances
+from seawake.operators.regions import match_regions_of_places, regions_struct, with_distances
 from seawake.operators.voyages import destination_port, destination_struct, next_voyage
+from seawake.session import materialized
 from seawake.sources.schemas import EVENTS_SCHEMA, conform
 
 SIDES = ("main_vessel", "encountered_vessel")
@@ -137,14 +138,14 @@ def encounter_events(
     edges: str = "spherical",
 ) -> DataFrame:
     """``port_events`` are published port-visit events."""
-    pairs = with_two_identities(mirror_encounters(quality_encounters(encounters)), vessels, prefix)
-    complete = destination_port(
-        next_voyage(pairs, voyages, "main_vessel_id", "start_time", "end_time"), port_events
+    # each is read several times below
+    pairs = materialized(with_two_identities(mirror_encounters(quality_encounters(encounters)), vessels, prefix))
+    complete = materialized(
+        destination_port(next_voyage(pairs, voyages, "main_vessel_id", "start_time", "end_time"), port_events)
     )
-    points = with_cell(
-        pairs.select("event_id", F.col("mean_longitude").alias("lon"), F.col("mean_latitude").alias("lat")).distinct()
-    )
-    places = regions_struct(match_regions(points, regions, "intersects", edges))
+    # the two rows of an encounter share their position
+    points = pairs.select("event_id", F.col("mean_longitude").alias("lon"), F.col("mean_latitude").alias("lat")).distinct()
+    places = materialized(regions_struct(match_regions_of_places(points, regions, "intersects", edges)))
     groups = encounter_authorizations(
         pairs, places, identity_authorizations(core, authorizations), last_scrape(authorizations)
     )

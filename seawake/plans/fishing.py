@@ -28,6 +28,7 @@ from seawake.operators.authorization import (
 )
 from seawake.operators.identity import fishing_vessels, is_fishing_gear, vessel_attributes, with_identity
 from seawake.operators.regions import match_regions, regions_struct, with_distances
+from seawake.session import materialized
 from seawake.sources.schemas import EVENTS_SCHEMA, conform
 from seawake.sources.tables import publish_versioned
 
@@ -78,7 +79,7 @@ def authorize_events(
     points = points_of(events) if points is None else points
     events = events.drop("geo_info", "points_wkt")
 
-    places = regions_struct(match_regions(points, regions, "within", edges))
+    places = materialized(regions_struct(match_regions(points, regions, "within", edges)))
     identities = identity_authorizations(core, authorizations)
     groups = fishing_authorizations(events, places, identities, last_scrape(authorizations))
     status, lists = "vessel_public_authorization_status", "public_authorizations"

@@ -13,7 +13,8 @@ from seawake.functions.scalars import event_id, filter_invalid_ssvid, m_to_km, n
 from seawake.operators.authorization import attach
 from seawake.operators.identity import vessel_attributes, with_identity
 from seawake.operators.joins import semi
-from seawake.operators.regions import match_regions, regions_struct, with_cell, with_distances
+from seawake.operators.regions import match_regions_of_places, regions_struct, with_distances
+from seawake.session import materialized
 from seawake.sources.schemas import EVENTS_SCHEMA, conform
 
 ANCHORAGE_FIELDS = (
@@ -109,7 +110,7 @@ def port_visit_events(
     edges: str = "spherical",
 ) -> DataFrame:
     source = confident_visits(visits, end)
-    described = described_anchorages(anchorages)
+    described = materialized(described_anchorages(anchorages))
     known = semi(source, vessels.select("vessel_id"))
     chosen = with_anchorage(
         first_ranked(known).withColumnRenamed("event_anchorage_id", "intermediate_anchorage_id"),
@@ -167,12 +168,10 @@ def port_visit_events(
 def with_mean_regions(events: DataFrame, regions: DataFrame, edges: str) -> DataFrame:
     """Regions at the mean position (boundary included); null where there are none.
 
-    Only ids and positions take the way through the region join.
+    The events are computed once; of them, only distinct positions take the
+    way through the region join (the anchorages, for port visits).
     """
-    points = with_cell(
-        events.select("event_id", F.col("lon_mean").alias("lon"), F.col("lat_mean").alias("lat")).filter(
-            F.col("lon").isNotNull() & F.col("lat").isNotNull()
-        )
-    )
-    places = regions_struct(match_regions(points, regions, "intersects", edges))
+    events = materialized(events)
+    points = events.select("event_id", F.col("lon_mean").alias("lon"), F.col("lat_mean").alias("lat"))
+    places = regions_struct(match_regions_of_places(points, regions, "intersects", edges))
     return conform(attach(events, places, "left"), EVENTS_SCHEMA)

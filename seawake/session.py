@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only, so that they can be applied to a session made elsewhere.
 RUNTIME_SETTINGS = {
@@ -43,6 +43,12 @@ def local_session(cpus: int = 8, partitions: int = 8, memory: str = "8g", **extr
     return configure(spark)
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """Compute a frame once, on shared storage, where several parts of a plan read it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable.
 
