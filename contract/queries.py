@@ -6,6 +6,7 @@ computed floats rounded at a digit where both engines agree.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,9 +36,8 @@ from seawake.plans import encounters as enc
 from seawake.plans import fishing
 from seawake.plans import loitering as loit
 from seawake.plans import port_visits as ports
-from seawake.session import ensure_checkpoint_dir
 from seawake.sources import samples
-from seawake.sources.tables import delete_range, publish_versioned
+from seawake.sources.tables import delete_range, drop_version, publish_versioned
 from seawake.streaming import incremental as inc
 
 FIELDS = ("nnet_score", "night_loitering")
@@ -215,21 +215,21 @@ def _report(state: DataFrame, mode: str) -> DataFrame:
 
 @query
 def three_mode_parity(i: Inputs) -> DataFrame:
-    """One load, daily loads, and a load followed by reloads: the same state."""
-    days = ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"]
-    ensure_checkpoint_dir(i.spark)
+    """Stored tables after one load, after daily loads, and after a load followed by reloads: the same state."""
+    days = [START, "2024-01-02", "2024-01-03", END]
+    tables = {name: f"parity_{name}_{uuid.uuid4().hex}" for name in ("whole", "daily")}
 
-    def loads(state: DataFrame, ranges: list[tuple[str, str]]) -> DataFrame:
+    def loaded(table: str, mode: str, ranges: list[tuple[str, str]]) -> DataFrame:
         for first, last in ranges:
-            # each load ends in a stored table
-            state = inc.apply_increment(state, i.state(start=first, end=last), first).checkpoint()
-        return state
-
-    once = i.state()
-    empty = once.filter(F.lit(False))
-    daily = loads(empty, list(zip(days, days[1:])))
-    again = loads(once, [(days[1], END), (days[2], END)])
-    return _report(once, "once").unionByName(_report(daily, "daily")).unionByName(_report(again, "again"))
+            inc.load_increment(i.spark, i.messages, tables[table], first, last, "nnet_score")
+        return _report(i.spark.table(tables[table]), mode).checkpoint()
+
+    once = loaded("whole", "once", [(START, END)])
+    again = loaded("whole", "again", [(days[1], END), (days[2], END)])
+    daily = loaded("daily", "daily", list(zip(days, days[1:])))
+    for table in tables.values():
+        drop_version(i.spark, table)
+    return once.unionByName(daily).unionByName(again)
 
 
 # --- identity and summaries ----------------------------------------------------
