@@ -29,6 +29,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import filterfalse
 from math import log
 
 import numpy as np
@@ -102,7 +103,7 @@ class Vectors:
         words = _WORD.findall(text.lower())
         if len(self.codes) > KEPT_WORDS:
             self.codes = {}
-        self._learn(set(words) - self.codes.keys())
+        self._learn(set(filterfalse(self.codes.__contains__, words)))
         counts: Counter[int] = Counter()
         for code, n in Counter(filter(None, map(self.codes.__getitem__, words))).items():
             for t in self.sets[code]:
