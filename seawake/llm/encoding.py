@@ -14,16 +14,19 @@ from itertools import filterfalse
 
 import numpy as np
 
-#: Chunks kept by a worker; beyond, its table starts anew.
-KEPT_CHUNKS = 600_000
+#: Chunks in the newer half of a worker's table; when it is full it becomes the older half.
+KEPT_CHUNKS = 700_000
 #: Marks at the end of a word never share a token with its last letter or digit; only well-known ones are cut.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_ENDS = frozenset(chr(c) for c in range(0x250) if chr(c).isalnum() and (c < 128 or c >= 0xC0))
+_ENDS = frozenset(c for c in map(chr, range(0x250)) if c.isalnum() and (c < "\x80" or c >= "À") and len(c.lower()) == 1)
+_PLAIN = re.compile("[" + "".join(sorted(c for c in _ENDS if c.isalpha())) + "]+")
 #: A special token ends the run like the end of a text does.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _SPACED = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
 EncodeMany = Callable[[list[str]], list[bytes]]
+#: Ids of words of letters that follow a space, or None if they cannot be told apart.
+EncodeWords = Callable[[list[str]], list[bytes] | None]
 
 
 class ChunkEncoder:
@@ -37,8 +40,10 @@ class ChunkEncoder:
     at all.
     """
 
-    def __init__(self, encode_many: EncodeMany, spaces: str, specials: Iterable[str] = (), kept: int = KEPT_CHUNKS):
-        self.encode_many, self.kept = encode_many, kept
+    def __init__(
+        self, encode_many: EncodeMany, spaces: str, specials: Iterable[str] = (), kept: int = KEPT_CHUNKS, encode_words: EncodeWords | None = None
+    ):
+        self.encode_many, self.kept, self.encode_words = encode_many, kept, encode_words
         ends = "|".join([r"\s", r"\Z", *map(re.escape, specials)])
         # a separator within or at the end of a run of white space that a token may hold whole: no cut is safe there
         self.inner_space = re.compile(rf"\s[ \n](?:{ends})")
@@ -46,32 +51,51 @@ class ChunkEncoder:
         self.spaces_kept = spaces == "kept"
         self.cut = self._cut_kept if spaces == "kept" else self._cut_dropped
         self.ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out = []
         for at in range(0, len(texts), 256):
             pieces = [self.cut(t) for t in texts[at : at + 256]]
             if len(self.ids) > self.kept:
-                self.ids = {}
+                self.ids, self.older = {}, self.ids
+            found = [list(map(self.ids.get, p)) for p in pieces]
+            gaps = [[i for i, ids in enumerate(f) if ids is None] for f in found]
             new: set[str] = set()
-            for p in pieces:
-                new.update(filterfalse(self.ids.__contains__, p))
+            for p, gap in zip(pieces, gaps, strict=True):
+                new.update(map(p.__getitem__, gap))
             if new:
                 self._learn(new)
-            out += [b"".join(map(self.ids.__getitem__, p)) for p in pieces]
+            for p, f, gap in zip(pieces, found, gaps, strict=True):
+                for i in gap:
+                    f[i] = self.ids[p[i]]
+                out.append(b"".join(f))
         return out
 
     def _learn(self, keys: set[str]) -> None:
         """Add keys; a word with marks at its end is put together from both."""
-        split = {}
+        if self.older:
+            old = list(filter(self.older.__contains__, keys))
+            self.ids.update(zip(old, map(self.older.__getitem__, old), strict=True))
+            keys.difference_update(old)
+        split: dict[str, tuple[str, str]] = {}
+        new: set[str] = set()
         for k in keys:
             base = k.rstrip(_MARKS)
             if len(base) < len(k) and base[-1:] in _ENDS and not self.special.search(k):
                 marks = k[len(base) :]
-                split[k] = (base, "\r" + marks if self.spaces_kept else marks)
-        parts = {p for two in split.values() for p in two}
-        new = list(((keys | parts) - split.keys()) - self.ids.keys())
-        self.ids.update(zip(new, self.encode_many([self.spelled(k) for k in new]), strict=True))
+                split[k] = two = (base, "\r" + marks if self.spaces_kept else marks)
+                new.update(filterfalse(self.ids.__contains__, two))
+            else:
+                new.add(k)
+        if self.encode_words is not None:
+            plain = [k for k in new if _PLAIN.fullmatch(k)]
+            found = self.encode_words(plain)
+            if found is not None:
+                self.ids.update(zip(plain, found, strict=True))
+                new -= set(plain)
+        rest = list(new)
+        self.ids.update(zip(rest, self.encode_many([self.spelled(k) for k in rest]), strict=True))
         self.ids.update((k, self.ids[a] + self.ids[b]) for k, (a, b) in split.items())
 
     # keys of chunks: "\r" + text for a chunk taken as it is, else the text after a space, or from a line feed on
@@ -111,6 +135,32 @@ def _library(model: str, texts: list[str]) -> list[bytes]:
     return out
 
 
+def _library_words(model: str, spaces: str, words: list[str]) -> list[bytes] | None:
+    """Words of letters in one text; a word's first token begins with a space, or its last ends a word."""
+    tokenizer, marks = _tokenizer(model)[0], _word_marks(model, spaces)
+    out: list[bytes] = []
+    for at in range(0, len(words), 1000):
+        some = words[at : at + 1000]
+        ids = np.array(tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(marks[ids])
+        if len(cuts) != len(some):
+            return None
+        raw = ids.tobytes()
+        bounds = (np.r_[cuts, len(ids)] if spaces == "kept" else np.r_[0, cuts + 1]) * 4
+        out += map(raw.__getitem__, map(slice, bounds[:-1].tolist(), bounds[1:].tolist()))
+    return out
+
+
+@lru_cache(4)
+def _word_marks(model: str, spaces: str) -> np.ndarray:
+    """For each id whether its token begins a word (with the letter for a space) or ends one."""
+    vocabulary = _tokenizer(model)[0].get_vocab()
+    marks = np.zeros(max(vocabulary.values()) + 1, bool)
+    for token, i in vocabulary.items():
+        marks[i] = token.startswith("Ġ") if spaces == "kept" else token.endswith("</w>")
+    return marks
+
+
 @lru_cache(2)
 def _tokenizer(model: str):
     import os
@@ -129,4 +179,5 @@ def _tokenizer(model: str):
 @lru_cache(2)
 def library_encoder(model: str, spaces: str) -> ChunkEncoder:
     """The worker's encoder for a tokenizers model, given as the text of its file."""
-    return ChunkEncoder(partial(_library, model), spaces, [t.content for t in _tokenizer(model)[0].get_added_tokens_decoder().values()])
+    specials = [t.content for t in _tokenizer(model)[0].get_added_tokens_decoder().values()]
+    return ChunkEncoder(partial(_library, model), spaces, specials, encode_words=partial(_library_words, model, spaces))
