@@ -17,14 +17,19 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 GOLDEN = 0x9E3779B97F4A7C15
 
 
-def let_workers_import(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, whatever their working folder."""
+#: Rows in an Arrow batch: texts are long, and a worker holds a batch several times over.
+BATCH_ROWS = 2000
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Small Arrow batches; workers import this package from where the driver has it, whatever their working folder."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the checkpoint folder, which all executors share."""
-    let_workers_import(spark)
+    prepare_workers(spark)
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
@@ -50,7 +55,7 @@ def ascii_lower(text: Column) -> Column:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    let_workers_import(spark)
+    prepare_workers(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -15,7 +15,7 @@ from itertools import filterfalse
 import numpy as np
 
 #: Chunks in the newer half of a worker's table; when it is full it becomes the older half.
-KEPT_CHUNKS = 700_000
+KEPT_CHUNKS = 350_000
 #: Marks at the end of a word never share a token with its last letter or digit; only well-known ones are cut.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _ENDS = frozenset(c for c in map(chr, range(0x250)) if c.isalnum() and (c < "\x80" or c >= "À") and len(c.lower()) == 1)

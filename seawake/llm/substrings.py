@@ -51,7 +51,7 @@ BITS_PER_ANCHOR = 16
 HASHES = 2
 #: Bytes whose arrays are held at once (or one longer text), and words whose hashes a task keeps.
 CHUNK_BYTES = 1 << 20
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 

@@ -52,7 +52,7 @@ BEGINNINGS = range(4, 9)
 #: Features of a term: at least so many times, and at least one in so many words.
 TIMES = (1, 2, 4, 8)
 SHARES = (200, 100, 50)
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 _WORD = re.compile(r"\w+")
 
 
