@@ -4,8 +4,9 @@ Rules are (host, path) prefixes; the longest that fits decides.  All other
 URLs are judged by a tree of path templates that is grown level by level:
 
 1. A node is a host with a template of the path so far.  A child segment that
-   at least ``SUPPORT`` URLs share stays as it is; rarer ones are variable and
-   become a wildcard of their shape (digits, hexadecimal, word, other).
+   at least ``SUPPORT`` per cent of the host's URLs share stays as it is; rarer
+   ones are variable and become a wildcard of their shape (digits, hexadecimal,
+   word, other).  A share does not change when the table grows evenly.
 2. Literal children of a node that cannot be told apart are merged: the same
    shapes below them in like shares, and the same labelled purity within its
    standard error.
@@ -15,7 +16,8 @@ URLs are judged by a tree of path templates that is grown level by level:
    one without any label of its own is allowed.
 
 Every step groups or joins on nodes; counts are summed before they are
-shuffled, and URLs are reduced to distinct (host, path) first.
+shuffled, and URLs are reduced to distinct (host, path) first.  Each counts
+once, so how often its rows are repeated changes no verdict.
 
 Defined cases: a null URL or one without "://" has an empty host and path and
 is judged like any other; empty segments are segments; segments beyond
@@ -32,6 +34,7 @@ from seawake.llm.common import UPPER, stored
 
 #: (host, path, verdict) of the production rules.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+#: Least share of a literal segment in its host, in per cent.
 SUPPORT = 20
 DEPTH = 8
 REJECT = 0.5
@@ -86,6 +89,7 @@ def _segments(path: Column) -> Column:
 def templates(urls: DataFrame, support: int = SUPPORT) -> DataFrame:
     """Template of each distinct (host, path); ``urls`` has these with n, n_block, n_label."""
     nodes = stored(urls.select("*", _segments(F.col("path")).alias("parts"), F.lit("").alias("template")), "url-level")
+    whole = stored(nodes.groupBy("host").agg(F.sum("n").alias("whole")), "url-hosts")
     depth = nodes.agg(F.max(F.size("parts"))).first()[0] or 0
     for level in range(depth):
         segment = F.when(F.size("parts") > level, F.element_at("parts", level + 1))
@@ -100,7 +104,7 @@ def templates(urls: DataFrame, support: int = SUPPORT) -> DataFrame:
             # bounded: shapes with the usual file endings, and one for all others
             F.map_from_entries(F.array_sort(F.collect_list(F.struct("below", "n")))).alias("shapes"),
         )
-        literal = literal.filter(F.col("n") >= support)
+        literal = literal.join(whole, "host").filter(F.col("n") * 100 >= F.col("whole") * support).drop("whole")
         literal = stored(_merged(literal), "url-literals")
         named = here.join(literal, ["host", "template", "segment"], "left")
         step = F.when(F.col("segment").isNull(), "").otherwise(F.concat(F.lit("/"), F.coalesce("merged", shape(F.col("segment")))))
@@ -130,7 +134,7 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     rows = pages.select(F.col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
     rows = stored(rows, "urls")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    distinct = rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"))
+    distinct = rows.select("host", "path").distinct().withColumn("n", F.lit(1).cast("long"))
     distinct = distinct.select("*", name.alias("rule"), verdict.alias("rule_verdict"))
     labelled = distinct.withColumn("n_block", F.when(F.col("rule_verdict") == "block", F.col("n")).otherwise(0))
     labelled = labelled.withColumn("n_label", F.when(F.col("rule_verdict").isNotNull(), F.col("n")).otherwise(0))

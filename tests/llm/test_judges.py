@@ -191,3 +191,20 @@ def test_purity_is_smoothed_towards_the_host(spark):
     rows = judge(spark.createDataFrame([(i, f"http://s.org/fr/{i}") for i in range(30)], "page_id long, url string")).collect()
     # 30 labels allow, five from the host, whose 30 allow with ten from the rate of zero
     assert {round(r["purity"], 9) for r in rows} == {0.0}
+
+
+def test_repeated_rows_and_even_growth_change_no_verdict(spark):
+    rules = (("h.x", "/news/1", "block"), ("h.x", "/shop/1", "allow"))
+    paths = [f"/{kind}/{first}{i:02d}" for kind in ("news", "shop") for first in (1, 2) for i in range(8)]
+    paths += [f"/wiki/{word}/{i}" for word in ("ab", "cd", "ef", "gh", "ij", "kl") for i in range(3)]
+
+    def verdicts(times, pages):
+        urls = [(i, f"http://h.x{p}" + f"/{n}" * (pages > 1)) for i, p in enumerate(paths) for n in range(pages)] * times
+        rows = judge(spark.createDataFrame(urls, "page_id long, url string"), rules).collect()
+        assert len(rows) == len(urls)
+        return {(r["page_id"], r["verdict"]) for r in rows}
+
+    once = verdicts(1, 1)
+    assert (8, "block") in once  # no rule fits, its template is blocked
+    assert verdicts(30, 1) == once
+    assert verdicts(1, 30) == once
