@@ -2,11 +2,10 @@
 
 1. Examples are a sample of labelled documents, all of them up to ``EXAMPLES``.
 2. Features are whole words and word beginnings, and that such a term comes
-   several times or makes up much of the text.  Those whose
-   document frequencies differ between the classes (chi-squared of at least
-   ``CHI2``, the ``FEATURES`` strongest) and are ``RATIO`` times as frequent in
-   one class as in the other make the TF-IDF space.  Counts are
-   grouped by Spark; what reaches the driver is bounded by both parameters.
+   several times or makes up much of the text.  All features of the examples
+   make the TF-IDF space, by 64-bit hash; Spark counts in how many of all
+   documents each occurs.  Weights are IDF times a class strength, which grows
+   with chi-squared and the ratio of the classes' frequencies and is never zero.
 3. The examples' inverted index is broadcast: postings in blocks of examples,
    each with the largest weight of every feature in it.  Block bounds give the
    exact nearest examples by cosine without scoring most blocks.
@@ -16,7 +15,7 @@
 
 Labels, ids, languages and sources are no inputs of a score.
 
-Defined cases: null, empty and featureless texts have no neighbour and get
+Defined cases: null, empty and texts of unknown terms only have no neighbour and get
 the score of an empty vote; labels other than 0 and 1 and null labels are
 left out; a label of an absent document teaches nothing; without examples of
 both classes every score is the rate of label 1, or 0 without labels; equal
@@ -30,23 +29,25 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import filterfalse
-from math import log
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seawake.llm.common import batch, stored, strings
+from seawake.llm.common import GOLDEN, batch, in_pieces, mixed, stored, strings
 
-#: Bound of the labelled sample; features; neighbours; least chi-squared (p of about 1e-5).
+#: Bound of the labelled sample; neighbours; chi-squared that gives half the strength (p of about 1e-5).
 EXAMPLES = 20_000
-FEATURES = 4096
 NEIGHBOURS = 15
 CHI2 = 20.0
-#: Least ratio of the document frequencies; common words that lean to a class are no evidence.
+#: Ratio of the document frequencies of full strength; common words that lean to a class are weak evidence.
 RATIO = 8.0
+LEAST_STRENGTH = 1e-3
+#: Share of a query's length that block bounds may leave to its weakest features.
+WEAK = 0.05
 BLOCK = 64
 BEGINNINGS = range(4, 9)
 #: Features of a term: at least so many times, and at least one in so many words.
@@ -61,56 +62,48 @@ def terms_of(word: str) -> tuple[str, ...]:
     return (word, *(word[:n] + "^" for n in BEGINNINGS if n <= len(word)))
 
 
-def features_of(term: str, count: int, words: int) -> list[str]:
-    """Features that a term has if it comes so often among so many words."""
-    if count == 1:
-        return [term]
-    own = [term] + [f"{term}@{t}" for t in TIMES[1:] if count >= t]
-    return own + [f"{term}%{s}" for s in SHARES if count * s >= words]
+class Keys:
+    """Hashed features of texts; terms of words are kept, up to a bound."""
 
+    def __init__(self):
+        self.known: dict[str, np.ndarray] = {}
 
-def text_features(text: str) -> list[str]:
-    words = _WORD.findall(text.lower())
-    counts: Counter[str] = Counter()
-    for word, n in Counter(words).items():
-        for term in terms_of(word):
-            counts[term] += n
-    return [f for term, n in counts.items() for f in features_of(term, n, len(words))]
+    def __call__(self, text: str) -> np.ndarray:
+        """Sorted keys of all features: each term, and that it comes so often or makes up so much."""
+        words = _WORD.findall(text.lower())
+        if not words:
+            return np.zeros(0, np.uint64)
+        if len(self.known) > KEPT_WORDS:
+            self.known = {}
+        for w in set(filterfalse(self.known.__contains__, words)):
+            self.known[w] = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in terms_of(w)], np.uint64)
+        counts = Counter(words)
+        own = [self.known[w] for w in counts]
+        terms, at = np.unique(np.concatenate(own), return_inverse=True)
+        times = np.bincount(at, np.repeat(list(counts.values()), list(map(len, own)))).astype(np.int64)
+        terms_again, again = terms[times > 1], times[times > 1]
+        more = [terms_again[again >= t] + np.uint64(GOLDEN * t % 2**64) for t in TIMES[1:]]
+        more += [terms_again[again * s >= len(words)] + np.uint64(GOLDEN * (s + 1) % 2**64) for s in SHARES]
+        return np.unique(np.concatenate([terms, *map(mixed, more)]))
 
 
 class Vectors:
-    """Sparse TF-IDF vectors over the chosen features; codes of words are kept, up to a bound."""
-
-    def __init__(self, features: list[str], idf: np.ndarray):
-        self.number = {f: i for i, f in enumerate(features)}
-        self.terms = sorted({re.split("[@%]", f)[0] for f in features})
-        self.term_number = {t: i for i, t in enumerate(self.terms)}
-        self.idf = idf
-        self.sets: list[tuple[int, ...]] = [()]
-        self.code_of_set: dict[tuple[int, ...], int] = {(): 0}
-        self.codes: dict[str, int] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        for w in words:
-            own = tuple(self.term_number[t] for t in terms_of(w) if t in self.term_number)
-            if own not in self.code_of_set:
-                self.code_of_set[own] = len(self.sets)
-                self.sets.append(own)
-            self.codes[w] = self.code_of_set[own]
+    """Sparse vectors of unit length over the features of all examples."""
+
+    def __init__(self, features: np.ndarray, weights: np.ndarray):
+        self.features, self.weights, self.keys = features, weights, Keys()
+
+    def numbers(self, text: str) -> np.ndarray:
+        keys = self.keys(text)
+        at = np.searchsorted(self.features, keys)
+        return at[self.features[np.minimum(at, len(self.features) - 1)] == keys] if len(self.features) else at[:0]
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Feature numbers and weights of unit length; both empty for a text without features."""
-        words = _WORD.findall(text.lower())
-        if len(self.codes) > KEPT_WORDS:
-            self.codes = {}
-        self._learn(set(filterfalse(self.codes.__contains__, words)))
-        counts: Counter[int] = Counter()
-        for code, n in Counter(filter(None, map(self.codes.__getitem__, words))).items():
-            for t in self.sets[code]:
-                counts[t] += n
-        own = [f for t, n in counts.items() for f in features_of(self.terms[t], n, len(words))]
-        at = np.array(sorted(self.number[f] for f in own if f in self.number), np.int64)
-        weights = self.idf[at]
+        return self.unit(self.numbers(text))
+
+    def unit(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        weights = self.weights[at].astype(np.float64)
         return at, weights / (np.sqrt((weights**2).sum()) or 1)
 
 
@@ -126,9 +119,21 @@ class BlockMaxIndex:
         self.columns = np.concatenate([vectors[i][0] for i in order]) if order else np.zeros(0, np.int64)
         self.weights = np.concatenate([vectors[i][1] for i in order]) if order else np.zeros(0)
         self.block, self.blocks = block, -(-len(order) // block)
-        self.largest = np.zeros((features, self.blocks), np.float64)
-        owner = np.repeat(np.arange(len(order)), sizes) // block
-        np.maximum.at(self.largest, (self.columns, owner), self.weights)
+        # largest weights by feature, for the blocks that have it only
+        found = []
+        for n in range(self.blocks):
+            low, high = self.pointers[n * block], self.pointers[min((n + 1) * block, len(order))]
+            by = np.argsort(self.columns[low:high], kind="stable")
+            columns, first = np.unique(self.columns[low:high][by], return_index=True)
+            if len(columns):
+                found.append((columns.astype(np.int32, copy=False), np.full(len(columns), n, np.int16), np.maximum.reduceat(self.weights[low:high][by], first)))
+        columns = np.concatenate([np.zeros(0, np.int32), *(x[0] for x in found)])
+        self.places = np.r_[0, np.cumsum(np.bincount(columns, minlength=features))]
+        by = np.argsort(columns, kind="stable")
+        del columns
+        self.in_block = np.concatenate([np.zeros(0, np.int16), *(x[1] for x in found)])[by]
+        self.largest = np.concatenate([np.zeros(0, self.weights.dtype), *(x[2] for x in found)])[by]
+        self.longest = max((float(np.sqrt((w.astype(np.float64) ** 2).sum())) for _, w in vectors), default=0.0) * (1 + 1e-6)
         self.query = np.zeros(features)
 
     def _scores(self, block: int) -> np.ndarray:
@@ -140,7 +145,14 @@ class BlockMaxIndex:
 
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples of positive cosine, nearest first."""
-        bounds = weights @ self.largest[at]
+        # the many weak features add at most the length of their part of the query
+        by = np.argsort(-weights, kind="stable")
+        rest = np.sqrt(np.r_[np.cumsum(weights[by][::-1] ** 2)[::-1], 0.0])
+        head = int(np.argmax(rest <= WEAK * rest[0]))
+        strong, tail = by[:head], rest[head] * self.longest
+        starts, sizes = self.places[at[strong]], self.places[at[strong] + 1] - self.places[at[strong]]
+        places = np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
+        bounds = np.bincount(self.in_block[places], self.largest[places] * np.repeat(weights[strong], sizes), self.blocks) + tail
         order = np.argsort(-bounds, kind="stable")
         self.query[at] = weights
         found, cosines = np.zeros(0, np.int64), np.zeros(0)
@@ -158,16 +170,17 @@ class BlockMaxIndex:
 
 
 class Model:
-    """What scoring needs: bounded by the number of examples and features."""
+    """What scoring needs: bounded by the number of examples and their features."""
 
-    def __init__(self, features: list[str], idf: np.ndarray, examples: list[tuple[int, int, np.ndarray, np.ndarray]], rate: float):
-        self.vectors = Vectors(features, idf)
+    def __init__(self, features: np.ndarray, weights: np.ndarray, examples: list[tuple[int, int, np.ndarray]], rate: float):
+        self.vectors = Vectors(features, weights)
         self.ids = np.array([e[0] for e in examples], np.int64)
+        self.number = {e[0]: i for i, e in enumerate(examples)}
         self.labels = np.array([e[1] for e in examples], np.float64)
-        self.index = BlockMaxIndex([(e[2], e[3]) for e in examples], len(features))
+        units = map(self.vectors.unit, (e[2] for e in examples))
+        self.index = BlockMaxIndex([(at.astype(np.int32, copy=False), w.astype(np.float32)) for at, w in units], len(features))
         self.rate = rate
-        votes = np.array([self.vote(e[2], e[3], i)[0] for i, e in enumerate(examples)]) if examples else np.zeros(0)
-        self.slope, self.shift = logistic(votes, self.labels)
+        self.slope, self.shift = 0.0, 0.0
         self.constant = not 0 < self.labels.sum() < len(self.labels)
 
     def vote(self, at: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, np.ndarray]:
@@ -222,52 +235,89 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     rows = docs.select(F.col(id_col).cast("long").alias("label_id"), F.col(text_col).cast("string").alias("text"))
     examples = stored(rows.join(F.broadcast(some), "label_id").repartition("label_id").dropDuplicates(["label_id"]), "tox-examples")
 
-    schema = pa.schema([("feature", pa.string()), ("one", pa.int64()), ("zero", pa.int64())])
+    schema = pa.schema([("feature", pa.int64()), ("one", pa.int64()), ("zero", pa.int64())])
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one: Counter[str] = Counter()
-        zero: Counter[str] = Counter()
+        of = Keys()
         for b in batches:
-            for text, label in zip(strings(b.column(0)), b.column(1).to_pylist(), strict=True):
-                (one if label else zero).update(text_features(text))
-            if len(one) + len(zero) > KEPT_WORDS:
-                yield batch(schema, *zip(*((f, one[f], zero[f]) for f in one.keys() | zero.keys()), strict=True))
-                one.clear()
-                zero.clear()
-        if one or zero:
-            yield batch(schema, *zip(*((f, one[f], zero[f]) for f in one.keys() | zero.keys()), strict=True))
-
+            for low in range(0, b.num_rows, 200):
+                part = b.slice(low, 200)
+                keys = [of(t) for t in strings(part.column(0))]
+                labels = np.repeat(part.column(1).to_numpy(zero_copy_only=False), list(map(len, keys)))
+                own, at = np.unique(np.concatenate(keys), return_inverse=True)
+                one = np.bincount(at, labels, len(own)).astype(np.int64)
+                yield from in_pieces(schema, [own.view(np.int64), one, np.bincount(at, minlength=len(own)) - one])
+
+    spark = docs.sparkSession
     totals = {r["label"]: r["count"] for r in examples.groupBy("label").count().collect()}
     ones, zeros = totals.get(1, 0), totals.get(0, 0)
-    counts = examples.select("text", "label").mapInArrow(frequencies, "feature string, one long, zero long")
-    counts = counts.groupBy("feature").agg(F.sum("one").alias("a"), F.sum("zero").alias("b"))
-    a, b, n, m = F.col("a").cast("double"), F.col("b").cast("double"), F.lit(float(ones)), F.lit(float(zeros))
-    cross = a * (m - b) - b * (n - a)
-    chi2 = (n + m) * cross * cross / F.greatest(n * m * (a + b) * (n + m - a - b), F.lit(1e-9))
-    rate_one, rate_zero = (a + 0.5) / (n + 1), (b + 0.5) / (m + 1)
-    apart = F.greatest(rate_one / rate_zero, rate_zero / rate_one) >= RATIO
-    chosen = counts.withColumn("chi2", chi2).filter((F.col("chi2") >= CHI2) & apart).orderBy(F.desc("chi2"), "feature").limit(FEATURES)
-    chosen = sorted((r["feature"], r["a"] + r["b"]) for r in chosen.collect())
-    features = [f for f, _ in chosen]
-    idf = np.array([log((1 + ones + zeros) / (1 + df)) + 1 for _, df in chosen])
-
-    vector_schema = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("at", pa.list_(pa.int32())), ("weights", pa.list_(pa.float64()))])
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Vectors(features, idf)
+    rate = ones / max(1, ones + zeros)
+    none = np.zeros(0)
+    if not ones or not zeros:
+        return Model(none.astype(np.uint64), none, [], rate)
+    counts = examples.select("text", "label").mapInArrow(frequencies, "feature long, one long, zero long")
+    counts = counts.groupBy("feature").agg(F.sum("one").cast("int").alias("a"), F.sum("zero").cast("int").alias("b")).toArrow()
+    features, a, b = (counts[c].to_numpy() for c in ("feature", "a", "b"))
+    order = np.argsort(features.view(np.uint64))
+    features, a, b = features.view(np.uint64)[order], a[order].astype(np.float64), b[order].astype(np.float64)
+    del counts
+    cross = a * (zeros - b) - b * (ones - a)
+    chi2 = (ones + zeros) * cross * cross / np.maximum(float(ones) * zeros * (a + b) * (ones + zeros - a - b), 1e-9)
+    apart = np.abs(np.log((a + 0.5) / (ones + 1) * (zeros + 1) / (b + 0.5))) / np.log(RATIO)
+    strength = np.maximum(chi2 / (chi2 + CHI2) * np.minimum(1, apart), LEAST_STRENGTH)
+    shared = spark.sparkContext.broadcast(features)
+
+    count_schema = pa.schema([("feature", pa.int32()), ("n", pa.int64())])
+
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = Vectors(shared.value, none)
+        sums = np.zeros(len(shared.value), np.int64)
         for b in batches:
-            both = [of(t) for t in strings(b.column(2))]
-            yield batch(vector_schema, b.column(0), b.column(1), [x.tolist() for x, _ in both], [w.tolist() for _, w in both])
-
-    if features:
-        found = examples.select("label_id", F.col("label").cast("int"), "text").mapInArrow(
-            vectors, "id long, label int, at array<int>, weights array<double>"
-        )
-        rows_of = [(r["id"], r["label"], np.array(r["at"], np.int64), np.array(r["weights"])) for r in found.collect()]
-    else:
-        rows_of = []
+            for t in strings(b.column(0)):
+                sums[of.numbers(t)] += 1
+        yield from in_pieces(count_schema, [np.flatnonzero(sums), sums[sums > 0]])
+
+    total_docs = docs.count()
+    every = rows.select("text").mapInArrow(occurrences, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(features))
+    df[every["feature"].to_numpy()] = every["n"].to_numpy()
+    weights = ((np.log((1 + total_docs) / (1 + df)) + 1) * strength).astype(np.float32)
+    del every, cross, chi2, apart, strength, a, b
+
+    number_schema = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("at", pa.list_(pa.int32()))])
+
+    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = Vectors(shared.value, none)
+        for b in batches:
+            for low in range(0, b.num_rows, 200):
+                part = b.slice(low, 200)
+                yield batch(number_schema, part.column(0), part.column(1), [of.numbers(t).astype(np.int32) for t in strings(part.column(2))])
+
+    found = examples.select("label_id", F.col("label").cast("int"), "text").mapInArrow(numbers, "id long, label int, at array<int>").toArrow()
+    rows_of = []
+    for part in found.to_batches():
+        at = part.column(2)
+        rows_of += zip(part.column(0).to_pylist(), part.column(1).to_pylist(), (x.values.to_numpy() for x in at), strict=True)
+    del found
     rows_of.sort(key=lambda r: r[0])
-    return Model(features, idf, rows_of, ones / max(1, ones + zeros))
+    model = Model(features, weights, rows_of, rate)
+    del rows_of
+    return _calibrated(model, examples)
+
+
+def _calibrated(model: Model, examples: DataFrame) -> Model:
+    """The model with a logistic fit of the examples' votes, each without its own."""
+    shared = examples.sparkSession.sparkContext.broadcast(model)
+    schema = pa.schema([("id", pa.int64()), ("vote", pa.float64())])
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own, of = b.column(0).to_pylist(), shared.value
+            yield batch(schema, own, [of.vote(*of.vectors(t), of.number[i])[0] for i, t in zip(own, strings(b.column(1)), strict=True)])
+
+    found = sorted((r["id"], r["vote"]) for r in examples.select("label_id", "text").mapInArrow(votes, "id long, vote double").collect())
+    model.slope, model.shift = logistic(np.array([v for _, v in found]), model.labels)
+    return model
 
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

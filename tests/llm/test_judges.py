@@ -73,6 +73,18 @@ def test_held_out_accuracy(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in rows if not r["predicted"])
 
 
+def test_few_labels_and_rare_words_count(spark):
+    docs = [(i, f"calm words about thing{i} and place{i}") for i in range(12)]
+    docs += [(20 + i, f"calm words about grobian{i} vileness") for i in range(3)]
+    labels = [(i, int(i >= 20)) for i, _ in docs]
+    df = spark.createDataFrame([*docs, (50, "grobian1 vileness"), (51, "calm words about thing3"), (52, "place7")], "doc_id long, text string")
+    rows = toxicity.scores(df, toxicity.train(df, spark.createDataFrame(labels, "doc_id long, toxic int"))).collect()
+    got = {r["doc_id"]: (r["predicted"], r["neighbours"]) for r in rows}
+    assert (got[50][0], got[51][0]) == (1, 0)
+    assert got[50][1][0] == 21
+    assert got[52][1][0] == 7  # a term of one labelled text finds it
+
+
 def test_held_out_rows_are_those_of_the_rule(spark):
     df = spark.createDataFrame([(i,) for i in range(300)] + [(None,)], "doc_id long")
     for r in df.select("doc_id", toxicity.held_out(df["doc_id"]).alias("f")).collect():
