@@ -119,7 +119,7 @@ class ChunkEncoder:
         return ["\r" + p if p[:1] == "\r" else p for p in pieces] if "\r" in text else pieces
 
 
-def _library(model: str, texts: list[str]) -> list[bytes]:
+def short_texts(model: str, texts: list[str]) -> list[bytes]:
     """Ids of short texts; many go through one call, with a special token between them."""
     tokenizer, mark, mark_id = _tokenizer(model)
     out: list[bytes] = []
@@ -180,4 +180,4 @@ def _tokenizer(model: str):
 def library_encoder(model: str, spaces: str) -> ChunkEncoder:
     """The worker's encoder for a tokenizers model, given as the text of its file."""
     specials = [t.content for t in _tokenizer(model)[0].get_added_tokens_decoder().values()]
-    return ChunkEncoder(partial(_library, model), spaces, specials, encode_words=partial(_library_words, model, spaces))
+    return ChunkEncoder(partial(short_texts, model), spaces, specials, encode_words=partial(_library_words, model, spaces))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seawake.llm import bpe, packing, tokenfile, toxicity
+from seawake.llm import alignment, bpe, lines, packing, tokenfile, toxicity
+from seawake.llm.collocations import collocations
 from seawake.llm.common import documents, shared_folder, table
 from seawake.llm.embeddings import near_vectors
 from seawake.llm.exact import exact_groups
@@ -69,6 +70,19 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(table(spark, folder, "embeddings"))
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return lines.line_digests(docs, lines.deduplicated(docs))
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment(documents(spark, folder), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(documents(spark, folder))
+
+
 LLM_QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_files": op2_token_files,
@@ -80,6 +94,9 @@ LLM_QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_collocations": op13_collocations,
 }
 
 LLM_ORACLES = {
@@ -97,4 +114,72 @@ LLM_ORACLES = {
         FROM normal
         WINDOW same AS (PARTITION BY t)
     """,
+    "op11_line_dedup": r"""
+        WITH texts AS (
+            SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ), split AS (
+            SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM texts
+        ), keyed AS (
+            SELECT *, translate(
+                trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+            ) AS key
+            FROM split
+        ), held AS (
+            SELECT key, min(doc_id) AS first
+            FROM keyed WHERE length(key) >= 10
+            GROUP BY key HAVING count(DISTINCT doc_id) > 1
+        ), judged AS (
+            SELECT k.doc_id, k.line, k.pos, h.key IS NOT NULL AND k.doc_id <> h.first AS dropped
+            FROM keyed k LEFT JOIN held h ON k.key = h.key
+        )
+        SELECT doc_id,
+               count(*) AS n_lines,
+               count(*) FILTER (WHERE dropped) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id
+    """,
+    "op13_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]'
+            )) AS piece
+            FROM documents
+        ), words AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+        ), totals AS (
+            SELECT lang, sum(len(w))::HUGEINT AS n FROM words GROUP BY lang
+        ), starts AS (
+            SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+        ), windows AS (
+            SELECT lang, w[i : i + k - 1] AS p, k FROM starts, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(w)
+        ), f AS (
+            SELECT lang, p, k, count(*) AS f FROM windows GROUP BY lang, p, k HAVING count(*) >= 100
+        ), cuts AS (
+            SELECT c.lang, c.p, c.k, c.f AS a, x.f AS l, y.f AS r, n, (1000 * c.f::HUGEINT * n) // (x.f::HUGEINT * y.f) AS score, x.k AS cut
+            FROM f c
+            JOIN totals t ON c.lang = t.lang
+            JOIN f x ON x.lang = c.lang AND x.k < c.k AND x.p = c.p[1 : x.k]
+            JOIN f y ON y.lang = c.lang AND y.k = c.k - x.k AND y.p = c.p[x.k + 1 : c.k]
+            WHERE c.k > 1
+        ), best AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) AS nth FROM cuts
+        ), inner_parts AS (
+            SELECT lang, p[i : i + j - 1] AS p, f FROM (
+                SELECT lang, p, k, f, j, unnest(range(1, k - j + 2)) AS i
+                FROM f, (SELECT unnest([2, 3, 4]) AS j) WHERE k > j
+            )
+        ), longer AS (
+            SELECT lang, p, max(f) AS f FROM inner_parts GROUP BY lang, p
+        ), ranked AS (
+            SELECT b.lang, array_to_string(b.p, ' ') AS phrase, a, l, r, n, score,
+                   row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, array_to_string(b.p, ' ')) AS rank
+            FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.p = b.p
+            WHERE nth = 1 AND (o.f IS NULL OR 100 * o.f < 100 * a)
+        )
+        SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+               n::BIGINT AS n, score::BIGINT AS score
+        FROM ranked WHERE rank <= 2000
+    """,
 }
