@@ -46,6 +46,8 @@ NULL_KEY = "NULL"
 KM_PER_NAUTICAL_MILE = 1.852
 EARTH_RADIUS_M = 6371010.0
 S2_LEVEL = 10
+# Levels of a covering; each boundary cell is divided into the cells of the next one.
+COVERING_LEVELS = (6, 8, S2_LEVEL)
 
 # --- thresholds -------------------------------------------------------------
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from seawake.config import S2_LEVEL
-from seawake.functions.geo import unit_vector
+from seawake.functions.geo import eastward, unit_vector, vector_lat, vector_lon
 
 LEAF_LEVEL = 30
 SWAPPED, INVERTED = 1, 2
@@ -106,3 +106,86 @@ def s2_cell(lon: Column, lat: Column, level: int = S2_LEVEL) -> Column:
     vector = F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
     cell = _let(vector, lambda p: _let(_cube_face(p), lambda face: on_face(p, face)))
     return F.when(lon.isNotNull() & lat.isNotNull(), cell)
+
+
+def cell_parent(cell: Column, level: int) -> Column:
+    """The cell of a coarser (or the same) level around a cell."""
+    low = 1 << 2 * (LEAF_LEVEL - level)
+    return cell.bitwiseAND(F.lit(-low)).bitwiseOR(F.lit(low))
+
+
+def cell_children(cell: Column, level: int, below: int) -> Column:
+    """Array of the cells of a finer level in a cell of ``level``."""
+    low, step = 1 << 2 * (LEAF_LEVEL - level), 1 << 2 * (LEAF_LEVEL - below) + 1
+    return F.transform(F.sequence(F.lit(0), F.lit(4 ** (below - level) - 1)), lambda n: cell - low + (step >> 1) + n * step)
+
+
+def _uncut(index: Column, level: Column) -> Column:
+    """Face coordinate of a line between the cells of a level."""
+    s = index / F.pow(F.lit(2.0), level)
+    return F.when(s >= 0.5, (4 * s * s - 1) / 3).otherwise((1 - 4 * (1 - s) * (1 - s)) / 3)
+
+
+def _face_vector(face: Column, u: Column, v: Column) -> Column:
+    """Vector on the cube: the inverse of the face coordinates."""
+    one = F.lit(1.0)
+    options = [(one, u, v), (-u, one, v), (-u, -v, one), (-one, -v, -u), (v, -one, -u), (v, u, -one)]
+
+    def pick(axis: int) -> Column:
+        chain = F.when(face == 0, options[0][axis])
+        for number in range(1, 6):
+            chain = chain.when(face == number, options[number][axis])
+        return chain
+
+    return F.struct(pick(0).alias("x"), pick(1).alias("y"), pick(2).alias("z"))
+
+
+def cell_bounds(cell: Column, level: Column) -> Column:
+    """Box around a cell: lon and lat of its centre, west, east, south, north; ``polar`` where it is of no use.
+
+    The box goes a quarter of its size beyond the corners on all sides, more
+    than the sides bulge from level 4 on; west and east may pass 180 degrees.
+    """
+    inverse = [0] * 16
+    for at, step in enumerate(hilbert_steps()):
+        inverse[at & 12 | step >> 2] = (at & 3) * 4 + (step & 3)
+    table = F.lit(inverse)
+
+    def read_pair(acc: Column, n: Column) -> Column:
+        position = F.call_function("shiftright", cell, 59 - 2 * n).bitwiseAND(F.lit(3)).cast("int")
+        step = F.get(table, acc["turn"] * 4 + position)
+        quadrant = F.call_function("shiftright", step, F.lit(2))
+        return F.struct(
+            (acc["i"] * 2 + F.call_function("shiftright", quadrant, F.lit(1))).alias("i"),
+            (acc["j"] * 2 + quadrant.bitwiseAND(F.lit(1))).alias("j"),
+            step.bitwiseAND(F.lit(3)).alias("turn"),
+        )
+
+    face = F.shiftrightunsigned(cell, 61).cast("int")
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), face.bitwiseAND(F.lit(SWAPPED)).alias("turn"))
+    place = F.aggregate(F.sequence(F.lit(0), level - 1), start, read_pair)
+
+    def around(ij: Column) -> Column:
+        def at(di: float, dj: float) -> Column:
+            p = _face_vector(face, _uncut(ij["i"] + di, level), _uncut(ij["j"] + dj, level))
+            return _let(p, lambda q: F.struct(vector_lon(q["x"], q["y"]).alias("lon"), vector_lat(q["x"], q["y"], q["z"]).alias("lat")))
+
+        def box(points: Column) -> Column:
+            centre, corners = points[0], F.slice(points, 2, 4)
+            offs = F.transform(corners, lambda c: eastward(c["lon"] - centre["lon"], "spherical"))
+            lats = F.transform(corners, lambda c: c["lat"])
+            west, east, south, north = F.array_min(offs), F.array_max(offs), F.array_min(lats), F.array_max(lats)
+            dx, dy = (east - west) / 4, (north - south) / 4
+            return F.struct(
+                centre["lon"].alias("lon"),
+                centre["lat"].alias("lat"),
+                (centre["lon"] + west - dx).alias("west"),
+                (centre["lon"] + east + dx).alias("east"),
+                (south - dy).alias("south"),
+                (north + dy).alias("north"),
+                (F.greatest(F.abs(south), F.abs(north)) > 85).alias("polar"),
+            )
+
+        return _let(F.array(at(0.5, 0.5), at(0, 0), at(0, 1), at(1, 0), at(1, 1)), box)
+
+    return _let(place, around)

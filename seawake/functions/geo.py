@@ -66,7 +66,7 @@ def _check(edges: str) -> None:
         raise ValueError(f"edges must be planar or spherical, not {edges!r}")
 
 
-def _eastward(degrees: Column, edges: str) -> Column:
+def eastward(degrees: Column, edges: str) -> Column:
     """A difference of longitudes, by the shorter way round on the sphere."""
     return degrees if edges == "planar" else degrees - 360.0 * F.floor((degrees + 180.0) / 360.0)
 
@@ -86,7 +86,7 @@ def edge_list(rings: Column, edges: str) -> Column:
                 F.lit("lat"),
                 a["lat"],
                 F.lit("width"),
-                _eastward(b["lon"] - a["lon"], edges),
+                eastward(b["lon"] - a["lon"], edges),
                 F.lit("end_lat"),
                 b["lat"],
             ),
@@ -120,13 +120,13 @@ def inside(lon: Column, lat: Column, edge_array: Column, pole: Column, edges: st
         return start * F.sin(width - part) + end * F.sin(part) - here * F.sin(width)
 
     def crosses(e: Column) -> Column:
-        off = _eastward(lon - e["lon"], edges)
+        off = eastward(lon - e["lon"], edges)
         # half open, so that a vertex belongs to one of its two edges
         east, west = (off >= 0) & (off < e["width"]), (off >= e["width"]) & (off < 0)
         return (east & (height_over(e, off) > 0)) | (west & (height_over(e, off) < 0))
 
     def touches(e: Column) -> Column:
-        off = _eastward(lon - e["lon"], edges)
+        off = eastward(lon - e["lon"], edges)
         low, high = F.least(e["lat"], e["end_lat"]), F.greatest(e["lat"], e["end_lat"])
         spanned = ((off >= 0) & (off <= e["width"])) | ((off <= 0) & (off >= e["width"]))
         upright = (e["width"] != 0) | lat.between(low, high)
@@ -169,3 +169,72 @@ def bands_spanned(edge: Column, edges: str) -> Column:
     # one more on either side, against rounding of the edge's far end
     bands = F.sequence(first - 1, last + 1)
     return bands if edges == "planar" else F.array_distinct(F.transform(bands, _once_around))
+
+
+def bands_between(west: Column, east: Column, edges: str) -> Column:
+    """Longitude bands from west to east (not below west, also beyond 180 degrees)."""
+    bands = F.sequence(_band(west), _band(east))
+    return bands if edges == "planar" else F.array_distinct(F.transform(bands, _once_around))
+
+
+def edge_meets_box(e: Column, box: Column, edges: str) -> Column:
+    """May the edge touch the box (west, east, south, north, and lon of its middle)?
+
+    The edge's latitude is taken where it enters and leaves the box's range of
+    longitudes; between the two it stays within the margin that boxes have.
+    """
+    _check(edges)
+    middle = eastward(box["lon"] - e["lon"], edges)
+    low = F.greatest(middle + (box["west"] - box["lon"]), F.least(F.lit(0.0), e["width"]))
+    high = F.least(middle + (box["east"] - box["lon"]), F.greatest(F.lit(0.0), e["width"]))
+    upright = F.abs(e["width"]) < 1e-9
+
+    def lat(off: Column) -> Column:
+        if edges == "planar":
+            return e["lat"] + (e["end_lat"] - e["lat"]) * off / e["width"]
+        start, end = F.tan(F.radians(e["lat"])), F.tan(F.radians(e["end_lat"]))
+        width, part = F.radians(e["width"]), F.radians(off)
+        return F.degrees(F.atan((start * F.sin(width - part) + end * F.sin(part)) / F.sin(width)))
+
+    one, two = F.when(upright, e["lat"]).otherwise(lat(low)), F.when(upright, e["end_lat"]).otherwise(lat(high))
+    return (low <= high) & (F.least(one, two) <= box["north"]) & (F.greatest(one, two) >= box["south"])
+
+
+def ring_span(rings: Column, edges: str) -> Column:
+    """west, east, south and north around all rings, up to the pole and all around for a ring that goes round one."""
+
+    def of_ring(ring: Column) -> Column:
+        first = ring[0]
+        start = F.struct(*[first["lon"].alias(n) for n in ("at", "west", "east")])
+        span = F.aggregate(
+            edge_list(F.array(ring), edges),
+            start,
+            lambda acc, e: F.struct(
+                (acc["at"] + e["width"]).alias("at"),
+                F.least(acc["west"], acc["at"] + e["width"]).alias("west"),
+                F.greatest(acc["east"], acc["at"] + e["width"]).alias("east"),
+            ),
+        )
+        around = F.abs(span["at"] - first["lon"]) > 180 if edges == "spherical" else F.lit(False)
+        lats = F.transform(ring, lambda p: p["lat"])
+        low, high = F.array_min(lats), F.array_max(lats)
+        # a geodesic of up to this width may pass its ends by so much
+        bulge = F.lit(0.0) if edges == "planar" else F.least(F.lit(30.0), (span["east"] - span["west"]) ** 2 / 400)
+        return F.struct(
+            F.when(around, -180.0).otherwise(span["west"]).alias("west"),
+            F.when(around, 180.0).otherwise(span["east"]).alias("east"),
+            F.when(around & (low + high < 0), -90.0).otherwise(F.greatest(F.lit(-90.0), low - bulge)).alias("south"),
+            F.when(around & (low + high >= 0), 90.0).otherwise(F.least(F.lit(90.0), high + bulge)).alias("north"),
+        )
+
+    spans = F.transform(rings, of_ring)
+
+    def part(name: str) -> Column:
+        return F.transform(spans, lambda s: s[name])
+
+    return F.struct(
+        F.array_min(part("west")).alias("west"),
+        F.array_max(part("east")).alias("east"),
+        F.array_min(part("south")).alias("south"),
+        F.array_max(part("north")).alias("north"),
+    )

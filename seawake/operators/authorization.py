@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seawake.config import (
@@ -103,25 +103,61 @@ def region_rows(events: DataFrame, regions: DataFrame) -> DataFrame:
     )
 
 
-def authorization_join(rows: DataFrame, authorizations: DataFrame, vessel: str, start: str, end: str, flag: str) -> DataFrame:
-    """Add boolean ``flag``: is the vessel authorized by the region's registry during the event?"""
+def grant_intervals(authorizations: DataFrame) -> DataFrame:
+    """One row per vessel and registry: its grants as sorted intervals that do not overlap.
+
+    ``begins`` and ``ends`` have the merged intervals, ``backward`` the grants
+    that end before they begin, which no merging may touch.  Grants that only
+    touch stay apart, as a moment between the two is in neither.
+    """
+    key = ["__vessel", "__rfmo"]
     grants = authorizations.select(
         F.col("vessel_id").alias("__vessel"),
         F.col("registry_rfmo").alias("__rfmo"),
-        F.col("registry_authorized_from").alias("__from"),
-        F.col("registry_authorized_to").alias("__to"),
+        F.col("registry_authorized_from").alias("begin"),
+        F.col("registry_authorized_to").alias("end"),
     )
-    granted = (
-        (F.col(vessel) == F.col("__vessel"))
-        & (F.col("rfmo") == F.col("__rfmo"))
-        & overlaps(F.col(start), F.col(end), F.col("__from"), F.col("__to"))
-    )
-    # several grants would repeat the row
-    return (
-        rows.join(grants, granted, "left")
-        .select(*rows.columns, F.col("__rfmo").isNotNull().alias(flag))
-        .distinct()
+    order = Window.partitionBy(*key, F.col("begin") > F.col("end")).orderBy("begin", "end")
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    parts = grants.withColumn("starts", (reached.isNull() | (F.col("begin") >= reached) | (F.col("begin") > F.col("end"))).cast("int"))
+    parts = parts.withColumn("island", F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    islands = parts.groupBy(*key, (F.col("begin") > F.col("end")).alias("back"), "island").agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+    span = F.struct("begin", "end")
+    lists = islands.groupBy(*key).agg(
+        F.sort_array(F.collect_list(F.when(~F.col("back"), span))).alias("spans"), F.collect_list(F.when(F.col("back"), span)).alias("backward")
     )
+    return lists.select(*key, F.col("spans.begin").alias("begins"), F.col("spans.end").alias("ends"), "backward")
+
+
+def _any_granted(start: Column, end: Column) -> Column:
+    """Does an event that does not end before it starts meet one of the intervals?
+
+    Of the intervals that begin before the event's end, the last one ends last.
+    """
+
+    def halved(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        before = F.coalesce(F.get("begins", middle) < end, F.lit(False))
+        searching = acc["low"] < acc["high"]
+        return F.struct(
+            F.when(searching & before, middle + 1).otherwise(acc["low"]).alias("low"),
+            F.when(searching & ~before, middle).otherwise(acc["high"]).alias("high"),
+        )
+
+    bounds = F.struct(F.lit(0).alias("low"), F.size("begins").alias("high"))
+    count = F.aggregate(F.sequence(F.lit(0), F.length(F.bin(F.size("begins")))), bounds, halved, lambda acc: acc["low"])
+    merged = F.coalesce(F.get("ends", count - 1) > start, F.lit(False))
+    return merged | F.exists("backward", lambda g: is_true(overlaps(start, end, g["begin"], g["end"])))
+
+
+def authorization_join(rows: DataFrame, authorizations: DataFrame, vessel: str, start: str, end: str, flag: str) -> DataFrame:
+    """Add boolean ``flag``: is the vessel authorized by the region's registry during the event?
+
+    Each row meets one list of intervals at most, however many grants a vessel has.
+    """
+    match = (F.col(vessel) == F.col("__vessel")) & (F.col("rfmo") == F.col("__rfmo"))
+    granted = F.col("__rfmo").isNotNull() & _any_granted(F.col(start), F.col(end))
+    return rows.join(grant_intervals(authorizations), match, "left").select(*rows.columns, F.coalesce(granted, F.lit(False)).alias(flag))
 
 
 def with_last_scrape(rows: DataFrame, scrapes: DataFrame, start: str) -> DataFrame:

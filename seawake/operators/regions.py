@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seawake.config import REGION_LAYERS
-from seawake.functions.cells import s2_cell
+from seawake.config import COVERING_LEVELS, REGION_LAYERS
+from seawake.functions.cells import cell_parent, s2_cell
 from seawake.functions.geo import bands_spanned, edge_list, holds_north_pole, inside, longitude_band
 from seawake.functions.scalars import gridcode, m_to_km
 
@@ -52,6 +52,9 @@ def match_regions(points: DataFrame, regions: DataFrame, mode: str, edges: str =
     ``points`` has event_id, lon, lat and cell.  ``mode`` is ``within``
     (boundary excluded) or ``intersects`` (included).  Equal cells give the
     candidates, without any geometry; they meet the edges of their band.
+    Regions with ``inner_cells`` (:mod:`seawake.operators.coverings`) have
+    boundary cells only as ``s2_cells``; in inner cells, distinct cells of the
+    events answer without geometry.
     """
     if mode not in ("within", "intersects"):
         raise ValueError(f"mode must be within or intersects, not {mode!r}")
@@ -64,12 +67,23 @@ def match_regions(points: DataFrame, regions: DataFrame, mode: str, edges: str =
     held = inside(
         F.col("lon"), F.col("lat"), F.col("edges"), F.col("pole"), edges, boundary=mode == "intersects"
     )
-    return (
+    found = (
         candidates.join(region_edges(regions, edges), ["layer", "id", "shape", "band"])
         .filter(held)
         .select("event_id", "layer", "id")
-        .distinct()
     )
+    if "inner_cells" in regions.columns:
+        found = found.unionByName(inner_matches(points, regions))
+    return found.distinct()
+
+
+def inner_matches(points: DataFrame, regions: DataFrame) -> DataFrame:
+    """``(event_id, layer, id)`` by the inner cells of any level that hold a point's cell."""
+    parents = F.array(*[cell_parent(F.col("cell"), level) for level in COVERING_LEVELS])
+    # events stay in few cells: their distinct cells are far fewer than their points
+    places = points.filter("cell <> 0").select("event_id", "cell").distinct().select("event_id", F.explode(parents).alias("cell"))
+    cells = regions.select("layer", "id", F.explode("inner_cells").alias("cell"))
+    return places.join(cells, "cell").select("event_id", "layer", "id")
 
 
 def match_regions_of_places(points: DataFrame, regions: DataFrame, mode: str, edges: str = "spherical") -> DataFrame:
