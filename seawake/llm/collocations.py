@@ -1,12 +1,13 @@
 """Collocations: phrases of two to five words, counted and scored for each language.
 
 1. *Slots.* Words and pairs of neighbours are counted in hashed slots, up to
-   the least count of a candidate.  A slot that does not reach it holds no word
-   or pair of any candidate.  The slots grow with the corpus up to a bound; a
-   fuller table lets more windows through and changes no result.
+   the least count of a candidate, and then the longer phrases all of whose
+   pairs can be frequent.  A slot that does not reach that count holds no part
+   of any candidate.  The slots grow with the corpus up to a bound; a fuller
+   table lets more windows through and changes no result.
 2. *Windows.* Each word begins a window: columns lead from it to the next four
-   words, up to the end of the piece or the first pair that cannot be frequent,
-   and are null beyond.  Only these longest windows are counted.  Words that
+   words, up to the end of the piece or of what can be frequent, and are null
+   beyond.  Only these longest windows are counted.  Words that
    begin no frequent phrase are summed in one row of nulls.
 3. *ROLLUP* over language and columns sums the windows to all their beginnings:
    a phrase's count is that of its row, and the language's row has all words.
@@ -153,13 +154,31 @@ def _language_seeds(languages: list[str], text: np.ndarray) -> np.ndarray:
     return _hashes([n.encode() for n in names])[at][text]
 
 
-def frequent_slots(rows: DataFrame, slots: int, least: int) -> Broadcast[np.ndarray]:
-    """Bits of the slots that at least so many words or pairs of neighbours fall into; ``rows``: lang, text."""
+def _follows(piece: np.ndarray) -> np.ndarray:
+    """For each word, whether another one of its piece comes after it."""
+    return np.r_[piece[1:] == piece[:-1], np.zeros(min(1, len(piece)), bool)]
+
+
+def _frequent_pairs(hashes: np.ndarray, seeds: np.ndarray, piece: np.ndarray, plane: np.ndarray, slots: int) -> np.ndarray:
+    """For each word, whether it may begin a frequent pair."""
+    follows = _follows(piece)
+    at = np.flatnonzero(follows)
+    follows[at] = _flags(plane, _slots(_pair_hashes(hashes[at], hashes[at + 1]), seeds[at], slots))
+    return follows
+
+
+def frequent_slots(rows: DataFrame, slots: int, least: int, pairs: Broadcast[np.ndarray] | None = None) -> Broadcast[np.ndarray]:
+    """Bits of the slots that at least so many words and pairs fall into; ``rows``: lang, text.
+
+    With the slots of the pairs, those of longer phrases all of whose pairs are marked.
+    """
     schema = pa.schema([("segment", pa.int32()), ("offsets", pa.binary()), ("counts", pa.binary())])
     most = min(least, 255)
 
     def flush(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         at, counts = np.unique(np.concatenate(held), return_counts=True)
+        if not len(at):
+            return
         counts = np.minimum(counts, most).astype(np.uint8)
         cuts = np.flatnonzero(np.diff(at // SEGMENT)) + 1
         found = [
@@ -175,9 +194,20 @@ def frequent_slots(rows: DataFrame, slots: int, least: int) -> Broadcast[np.ndar
         for languages, texts in _parts(batches):
             ids, piece, text = read(texts)
             hashes, seeds = read.hashes[ids], _language_seeds(languages, text)
-            pair = np.flatnonzero(piece[1:] == piece[:-1])
-            held += [_slots(hashes, seeds, slots), _slots(_pair_hashes(hashes[pair], hashes[pair + 1]), seeds[pair], slots)]
-            size += len(ids) + len(pair)
+            if pairs is None:
+                at = np.flatnonzero(_follows(piece))
+                held += [_slots(hashes, seeds, slots), _slots(_pair_hashes(hashes[at], hashes[at + 1]), seeds[at], slots)]
+                size += len(ids) + len(at)
+            else:
+                follows = _frequent_pairs(hashes, seeds, piece, pairs.value, slots)
+                at = np.flatnonzero(follows)
+                phrase = _pair_hashes(hashes[at], hashes[at + 1])
+                for k in range(2, LONGEST):
+                    on = follows[at + k - 1]
+                    at, phrase = at[on], phrase[on]
+                    phrase = _pair_hashes(phrase, hashes[at + k])
+                    held.append(_slots(phrase, seeds[at], slots))
+                    size += len(at)
             if size >= FLUSH:
                 yield from flush(held)
                 held, size = [], 0
@@ -216,6 +246,7 @@ def _flags(plane: np.ndarray, at: np.ndarray) -> np.ndarray:
 def counted_windows(rows: DataFrame, slots: int, least: int) -> DataFrame:
     """``lang``, ``w1`` to ``w5`` (null beyond the window's end), ``n``: the longest windows, each counted."""
     marked = frequent_slots(rows, slots, least)
+    longer = frequent_slots(rows, slots, least, marked)
     schema = pa.schema([("lang", pa.string()), *((w, pa.string()) for w in WORDS), ("n", pa.int64())])
     bits = 21
 
@@ -245,17 +276,22 @@ def counted_windows(rows: DataFrame, slots: int, least: int) -> DataFrame:
         for languages, texts in _parts(batches):
             ids, piece, text = read(texts)
             hashes, seeds = read.hashes[ids], _language_seeds(languages, text)
-            follows = np.zeros(len(ids), bool)
-            pair = np.flatnonzero(piece[1:] == piece[:-1])
-            follows[pair] = _flags(marked.value, _slots(_pair_hashes(hashes[pair], hashes[pair + 1]), seeds[pair], slots))
+            follows = _frequent_pairs(hashes, seeds, piece, marked.value, slots)
             begins = np.flatnonzero(_flags(marked.value, _slots(hashes, seeds, slots)))
             windows = np.zeros((len(begins), LONGEST), np.int64)
             windows[:, 0] = ids[begins] + 1
-            goes_on = np.ones(len(begins), bool)
-            for k in range(1, LONGEST):
-                at = np.minimum(begins + k - 1, len(ids) - 1)
-                goes_on &= follows[at]
-                windows[goes_on, k] = ids[at[goes_on] + 1] + 1
+            row = np.full(len(ids), -1)
+            row[begins] = np.arange(len(begins))
+            at = np.flatnonzero(follows & (row >= 0))
+            windows[row[at], 1] = ids[at + 1] + 1
+            phrase = _pair_hashes(hashes[at], hashes[at + 1])
+            for k in range(2, LONGEST):
+                on = follows[at + k - 1]
+                at, phrase = at[on], phrase[on]
+                phrase = _pair_hashes(phrase, hashes[at + k])
+                on = _flags(longer.value, _slots(phrase, seeds[at], slots))
+                at, phrase = at[on], phrase[on]
+                windows[row[at], k] = ids[at + k] + 1
             language = np.array(languages, object)[text]
             for lang in set(languages):
                 own = language == lang

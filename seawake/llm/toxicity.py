@@ -1,203 +1,217 @@
 """Toxicity scores from the nearest labelled examples.
 
-1. Examples are a sample of labelled documents, all of them up to ``EXAMPLES``.
-2. Features are whole words and word beginnings, and that such a term comes
-   several times or makes up much of the text.  All features of the examples
-   make the TF-IDF space, by 64-bit hash; Spark counts in how many of all
-   documents each occurs.  Weights are IDF times a class strength, which grows
+1. Examples are a sample of labelled documents, all of them up to ``EXAMPLES``
+   and up to ``EXAMPLE_BYTES`` of text, by a hash of their ids.
+2. Texts are TF-IDF vectors of unit length over all words of the examples:
+   one plus the logarithm of a word's count, times the logarithm of the inverse
+   share of documents that have it, counted by Spark in all documents.
+3. The examples' inverted index is broadcast, its size bounded by that of the
+   sample.  It holds postings by word and block of examples, with the largest
+   weight of each.  Block bounds give the exact nearest examples by cosine, and
+   blocks that cannot hold one of them are not scored.
+4. Neighbours vote, each with the part of its cosine that comes from words
+   which tell the classes apart: a word's share is its strength, which grows
    with chi-squared and the ratio of the classes' frequencies and is never zero.
-3. The examples' inverted index is broadcast: postings in blocks of examples,
-   each with the largest weight of every feature in it.  Block bounds give the
-   exact nearest examples by cosine without scoring most blocks.
-4. Neighbours vote with their cosines as weights.  Votes of the examples
-   themselves, each left out of its own, are mapped to probabilities by a
-   logistic fit, and that map gives the scores.
+   Strength counts in votes only; it has no part in who the neighbours are.
+   Votes of the examples themselves, each left out of its own, are mapped to
+   probabilities by a logistic fit, and that map gives the scores.
 
 Labels, ids, languages and sources are no inputs of a score.
 
-Defined cases: null, empty and texts of unknown terms only have no neighbour and get
+Defined cases: null, empty and texts of unknown words only have no neighbour and get
 the score of an empty vote; labels other than 0 and 1 and null labels are
-left out; a label of an absent document teaches nothing; without examples of
-both classes every score is the rate of label 1, or 0 without labels; equal
-cosines prefer the earlier example; repeated rows are scored each; further
-columns pass through in :func:`without_toxic`.
+left out; of several labels for one id the largest counts; a label of an absent
+document teaches nothing; of several documents with a labelled id one is an
+example; without examples of both classes every score is the rate of label 1,
+or 0 without labels; empty tables have no rows; equal cosines prefer the earlier
+example; repeated rows are scored each; texts of any length are read whole;
+further columns pass through in :func:`without_toxic`.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seawake.llm.common import GOLDEN, batch, in_pieces, mixed, stored, strings
+from seawake.llm.common import batch, in_pieces, stored, strings
 
-#: Bound of the labelled sample; neighbours; chi-squared that gives half the strength (p of about 1e-5).
-EXAMPLES = 20_000
-NEIGHBOURS = 15
+#: Bounds of the labelled sample, in documents and in bytes of their texts.
+EXAMPLES = 6000
+EXAMPLE_BYTES = 64 << 20
+#: Neighbours that vote, and those that are named as evidence.
+NEIGHBOURS = 200
+EVIDENCE = 15
+#: Chi-squared that gives half the strength (p of about 1e-5).
 CHI2 = 20.0
 #: Ratio of the document frequencies of full strength; common words that lean to a class are weak evidence.
 RATIO = 8.0
 LEAST_STRENGTH = 1e-3
-#: Share of a query's length that block bounds may leave to its weakest features.
-WEAK = 0.05
+#: Weight of the general rate in a vote.
+RATE_WEIGHT = 0.002
 BLOCK = 64
-BEGINNINGS = range(4, 9)
-#: Features of a term: at least so many times, and at least one in so many words.
-TIMES = (1, 2, 4, 8)
-SHARES = (200, 100, 50)
 KEPT_WORDS = 150_000
 _WORD = re.compile(r"\w+")
 
 
-def terms_of(word: str) -> tuple[str, ...]:
-    """A word and its beginnings, marked so that they differ from words."""
-    return (word, *(word[:n] + "^" for n in BEGINNINGS if n <= len(word)))
-
-
-class Keys:
-    """Hashed features of texts; terms of words are kept, up to a bound."""
-
-    def __init__(self):
-        self.known: dict[str, np.ndarray] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        """Sorted keys of all features: each term, and that it comes so often or makes up so much."""
-        words = _WORD.findall(text.lower())
-        if not words:
-            return np.zeros(0, np.uint64)
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
-        for w in set(filterfalse(self.known.__contains__, words)):
-            self.known[w] = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in terms_of(w)], np.uint64)
-        counts = Counter(words)
-        own = [self.known[w] for w in counts]
-        terms, at = np.unique(np.concatenate(own), return_inverse=True)
-        times = np.bincount(at, np.repeat(list(counts.values()), list(map(len, own)))).astype(np.int64)
-        terms_again, again = terms[times > 1], times[times > 1]
-        more = [terms_again[again >= t] + np.uint64(GOLDEN * t % 2**64) for t in TIMES[1:]]
-        more += [terms_again[again * s >= len(words)] + np.uint64(GOLDEN * (s + 1) % 2**64) for s in SHARES]
-        return np.unique(np.concatenate([terms, *map(mixed, more)]))
+def _hashed(words: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
 
 
 class Vectors:
-    """Sparse vectors of unit length over the features of all examples."""
-
-    def __init__(self, features: np.ndarray, weights: np.ndarray):
-        self.features, self.weights, self.keys = features, weights, Keys()
-
-    def numbers(self, text: str) -> np.ndarray:
-        keys = self.keys(text)
-        at = np.searchsorted(self.features, keys)
-        return at[self.features[np.minimum(at, len(self.features) - 1)] == keys] if len(self.features) else at[:0]
+    """Words of texts as numbers of features, with their TF-IDF weights."""
+
+    def __init__(self, features: np.ndarray, idf: np.ndarray):
+        """``features``: sorted hashes of the examples' words."""
+        self.features, self.idf = features, idf
+        self.known: dict[str, int] = {}
+
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Feature numbers in order, and how often each comes."""
+        words = Counter(_WORD.findall(text.lower()))
+        new = list(filterfalse(self.known.__contains__, words))
+        if new:
+            if len(self.known) > KEPT_WORDS:
+                self.known, new = {}, list(words)
+            keys = _hashed(new)
+            at = np.searchsorted(self.features, keys)
+            found = at < len(self.features)
+            found[found] = self.features[at[found]] == keys[found]
+            self.known.update(zip(new, np.where(found, at, -1).tolist(), strict=True))
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        times = np.fromiter(words.values(), np.int64, len(words))
+        order = np.argsort(at, kind="stable")
+        order = order[np.searchsorted(at[order], 0) :]
+        return at[order], times[order]
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Feature numbers and weights of unit length; both empty for a text without features."""
-        return self.unit(self.numbers(text))
+        return self.unit(*self.counts(text))
 
-    def unit(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        weights = self.weights[at].astype(np.float64)
+    def unit(self, at: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        weights = (1 + np.log(times)) * self.idf[at]
+        at, weights = at[weights > 0], weights[weights > 0]
         return at, weights / (np.sqrt((weights**2).sum()) or 1)
 
 
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Numbers of all places in ranges."""
+    return np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
+
+
 class BlockMaxIndex:
-    """Inverted index of examples with the largest weight of each feature in each block."""
+    """Inverted index of examples: postings by feature and block, with the largest weight of each."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], features: int, block: int = BLOCK):
         # examples with like vectors go to the same block, which makes its bounds tight
         order = sorted(range(len(vectors)), key=lambda i: (vectors[i][0][np.argsort(-vectors[i][1], kind="stable")[:3]].tolist(), i))
         self.example = np.array(order, np.int64)
+        self.blocks = -(-len(order) // block)
         sizes = np.array([len(vectors[i][0]) for i in order], np.int64)
-        self.pointers = np.r_[0, np.cumsum(sizes)]
-        self.columns = np.concatenate([vectors[i][0] for i in order]) if order else np.zeros(0, np.int64)
-        self.weights = np.concatenate([vectors[i][1] for i in order]) if order else np.zeros(0)
-        self.block, self.blocks = block, -(-len(order) // block)
-        # largest weights by feature, for the blocks that have it only
-        found = []
-        for n in range(self.blocks):
-            low, high = self.pointers[n * block], self.pointers[min((n + 1) * block, len(order))]
-            by = np.argsort(self.columns[low:high], kind="stable")
-            columns, first = np.unique(self.columns[low:high][by], return_index=True)
-            if len(columns):
-                found.append((columns.astype(np.int32, copy=False), np.full(len(columns), n, np.int16), np.maximum.reduceat(self.weights[low:high][by], first)))
-        columns = np.concatenate([np.zeros(0, np.int32), *(x[0] for x in found)])
-        self.places = np.r_[0, np.cumsum(np.bincount(columns, minlength=features))]
-        by = np.argsort(columns, kind="stable")
-        del columns
-        self.in_block = np.concatenate([np.zeros(0, np.int16), *(x[1] for x in found)])[by]
-        self.largest = np.concatenate([np.zeros(0, self.weights.dtype), *(x[2] for x in found)])[by]
-        self.longest = max((float(np.sqrt((w.astype(np.float64) ** 2).sum())) for _, w in vectors), default=0.0) * (1 + 1e-6)
-        self.query = np.zeros(features)
-
-    def _scores(self, block: int) -> np.ndarray:
-        first, last = block * self.block, min((block + 1) * self.block, len(self.example))
-        low, high = self.pointers[first], self.pointers[last]
-        sums = np.r_[0.0, np.cumsum(self.query[self.columns[low:high]] * self.weights[low:high])]
-        bounds = self.pointers[first : last + 1] - low
-        return sums[bounds[1:]] - sums[bounds[:-1]]
+        columns = np.concatenate([np.zeros(0, np.int32), *(vectors[i][0] for i in order)])
+        weights = np.concatenate([np.zeros(0, np.float32), *(vectors[i][1] for i in order)])
+        place = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
+        by = np.argsort(columns, kind="stable")  # by feature, then block, as places ascend
+        columns, self.weight, self.place = columns[by], weights[by], place[by]
+        own_block = self.place // block
+        self.starts = np.flatnonzero(np.r_[len(by) > 0, (columns[1:] != columns[:-1]) | (own_block[1:] != own_block[:-1])][: len(by)])
+        self.ends = np.r_[self.starts[1:], len(by)][: len(self.starts)]
+        self.in_block = own_block[self.starts]
+        self.largest = np.maximum.reduceat(self.weight, self.starts) if len(by) else np.zeros(0)
+        self.entries = np.r_[0, np.cumsum(np.bincount(columns[self.starts], minlength=features))]
 
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples of positive cosine, nearest first."""
-        # the many weak features add at most the length of their part of the query
-        by = np.argsort(-weights, kind="stable")
-        rest = np.sqrt(np.r_[np.cumsum(weights[by][::-1] ** 2)[::-1], 0.0])
-        head = int(np.argmax(rest <= WEAK * rest[0]))
-        strong, tail = by[:head], rest[head] * self.longest
-        starts, sizes = self.places[at[strong]], self.places[at[strong] + 1] - self.places[at[strong]]
-        places = np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
-        bounds = np.bincount(self.in_block[places], self.largest[places] * np.repeat(weights[strong], sizes), self.blocks) + tail
+        sizes = self.entries[at + 1] - self.entries[at]
+        entries = _spread(self.entries[at], sizes)
+        query, in_block = np.repeat(weights, sizes), self.in_block[entries]
+        bounds = np.bincount(in_block, self.largest[entries] * query, self.blocks)
         order = np.argsort(-bounds, kind="stable")
-        self.query[at] = weights
-        found, cosines = np.zeros(0, np.int64), np.zeros(0)
-        for b in order.tolist():
-            if bounds[b] <= 0 or len(found) == k and bounds[b] < cosines[-1] - 1e-9:
-                break
-            scores = self._scores(b)
-            hit = scores > 1e-12
-            found = np.r_[found, self.example[b * self.block : b * self.block + len(scores)][hit]]
-            cosines = np.r_[cosines, scores[hit]]
-            best = np.lexsort((found, -np.round(cosines, 12)))[:k]
-            found, cosines = found[best], cosines[best]
-        self.query[at] = 0
-        return found, cosines
-
-
-class Model:
-    """What scoring needs: bounded by the number of examples and their features."""
-
-    def __init__(self, features: np.ndarray, weights: np.ndarray, examples: list[tuple[int, int, np.ndarray]], rate: float):
-        self.vectors = Vectors(features, weights)
+        order = order[bounds[order] > 0]
+        total, least, done, step = np.zeros(len(self.example)), 0.0, 0, 4
+        chosen = np.zeros(self.blocks, bool)
+        while done < len(order) and bounds[order[done]] >= least - 1e-9:
+            now = order[done : done + step]
+            chosen[:] = False
+            chosen[now[bounds[now] >= least - 1e-9]] = True
+            hit = np.flatnonzero(chosen[in_block])
+            starts = self.starts[entries[hit]]
+            lengths = self.ends[entries[hit]] - starts
+            places = _spread(starts, lengths)
+            total += np.bincount(self.place[places], self.weight[places] * np.repeat(query[hit], lengths), len(total))
+            if (total > 0).sum() >= k:
+                least = float(np.partition(total, -k)[-k])
+            done, step = done + step, step * 2
+        total = np.round(total, 12) if len(total) else total
+        found = np.flatnonzero(total > max(1e-12, least - 1e-9))
+        best = found[np.lexsort((self.example[found], -total[found]))[:k]]
+        return self.example[best], total[best]
+
+
+class Core:
+    """What scoring needs, broadcast once: bounded by the number and size of the examples."""
+
+    def __init__(self, features: np.ndarray, idf: np.ndarray, strength: np.ndarray, examples: list[tuple], rate: float):
+        self.vectors = Vectors(features, idf)
         self.ids = np.array([e[0] for e in examples], np.int64)
         self.number = {e[0]: i for i, e in enumerate(examples)}
         self.labels = np.array([e[1] for e in examples], np.float64)
-        units = map(self.vectors.unit, (e[2] for e in examples))
-        self.index = BlockMaxIndex([(at.astype(np.int32, copy=False), w.astype(np.float32)) for at, w in units], len(features))
-        self.rate = rate
-        self.slope, self.shift = 0.0, 0.0
-        self.constant = not 0 < self.labels.sum() < len(self.labels)
+        units = [self.vectors.unit(e[2], e[3]) for e in examples]
+        units = [(at.astype(np.int32), w.astype(np.float32)) for at, w in units]
+        self.index = BlockMaxIndex(units, len(features))
+        # weights by example, for the votes
+        sizes = np.array([len(at) for at, _ in units], np.int64)
+        self.bounds = np.r_[0, np.cumsum(sizes)]
+        self.columns = np.concatenate([np.zeros(0, np.int32), *(at for at, _ in units)])
+        self.told = np.concatenate([np.zeros(0, np.float32), *(w for _, w in units)]) * strength.astype(np.float32)[self.columns]
+        self.query, self.rate = np.zeros(len(features)), rate
 
     def vote(self, at: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, np.ndarray]:
-        """Weighted share of label 1 among the neighbours, with one neighbour's weight for the general rate."""
+        """Weighted share of label 1 among the neighbours, and the numbers of those that weigh most."""
         if not len(at):
             return self.rate, np.zeros(0, np.int64)
-        found, cosines = self.index.nearest(at, weights, NEIGHBOURS + (without >= 0))
-        kept = np.flatnonzero(found != without)[:NEIGHBOURS]
-        found, cosines = found[kept], cosines[kept]
-        return float(((cosines * self.labels[found]).sum() + 0.1 * self.rate) / (cosines.sum() + 0.1)), found
+        found, _ = self.index.nearest(at, weights, NEIGHBOURS + (without >= 0))
+        found = found[found != without][:NEIGHBOURS]
+        self.query[at] = weights
+        sizes = self.bounds[found + 1] - self.bounds[found]
+        places = _spread(self.bounds[found], sizes)
+        told = np.bincount(np.repeat(np.arange(len(found)), sizes), self.query[self.columns[places]] * self.told[places], len(found))
+        self.query[at] = 0
+        share = (told @ self.labels[found] + RATE_WEIGHT * self.rate) / (told.sum() + RATE_WEIGHT)
+        return float(share), found[np.argsort(-told, kind="stable")[:EVIDENCE]]
+
+
+@dataclass
+class Model:
+    """The broadcast core with the map from votes to probabilities; without a core, every score is the rate."""
+
+    core: Broadcast[Core] | None
+    rate: float
+    slope: float = 0.0
+    shift: float = 0.0
+
+    def scorer(self) -> Callable[[str], tuple[float, list[int]]]:
+        """A function for tasks: probability of label 1, and ids of the neighbours that weigh most."""
+        shared, rate, slope, shift = self.core, self.rate, self.slope, self.shift
+
+        def score(text: str) -> tuple[float, list[int]]:
+            if shared is None:
+                return rate, []
+            core = shared.value
+            vote, found = core.vote(*core.vectors(text))
+            return float(1 / (1 + np.exp(-(slope * vote + shift)))), core.ids[found].tolist()
 
-    def score(self, text: str) -> tuple[float, list[int]]:
-        """Probability of label 1, and ids of the nearest examples as evidence."""
-        if self.constant:
-            return self.rate, []
-        vote, found = self.vote(*self.vectors(text))
-        return float(1 / (1 + np.exp(-(self.slope * vote + self.shift)))), self.ids[found].tolist()
+        return score
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -228,106 +242,118 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).cast("long").alias("label_id")).agg(F.max(label_col).cast("int").alias("label"))
     known = stored(known, "tox-labels")
-    total = known.count()
-    share = min(1.0, EXAMPLES / max(1, total))
+    rows = docs.select(F.col(id_col).cast("long").alias("label_id"), F.col(text_col).cast("string").alias("text"))
+    sizes = rows.select("label_id", F.octet_length("text").alias("size")).join(known, "label_id")
+    size = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).first()
+    share = min(1.0, EXAMPLES / max(1, size["n"]), EXAMPLE_BYTES / max(1, size["bytes"] or 0))
     # a share of all labels by hash; its size is bounded, and so is its broadcast
     some = known.filter(F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = docs.select(F.col(id_col).cast("long").alias("label_id"), F.col(text_col).cast("string").alias("text"))
     examples = stored(rows.join(F.broadcast(some), "label_id").repartition("label_id").dropDuplicates(["label_id"]), "tox-examples")
-
-    schema = pa.schema([("feature", pa.int64()), ("one", pa.int64()), ("zero", pa.int64())])
-
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Keys()
-        for b in batches:
-            for low in range(0, b.num_rows, 200):
-                part = b.slice(low, 200)
-                keys = [of(t) for t in strings(part.column(0))]
-                labels = np.repeat(part.column(1).to_numpy(zero_copy_only=False), list(map(len, keys)))
-                own, at = np.unique(np.concatenate(keys), return_inverse=True)
-                one = np.bincount(at, labels, len(own)).astype(np.int64)
-                yield from in_pieces(schema, [own.view(np.int64), one, np.bincount(at, minlength=len(own)) - one])
-
-    spark = docs.sparkSession
     totals = {r["label"]: r["count"] for r in examples.groupBy("label").count().collect()}
     ones, zeros = totals.get(1, 0), totals.get(0, 0)
     rate = ones / max(1, ones + zeros)
-    none = np.zeros(0)
     if not ones or not zeros:
-        return Model(none.astype(np.uint64), none, [], rate)
-    counts = examples.select("text", "label").mapInArrow(frequencies, "feature long, one long, zero long")
-    counts = counts.groupBy("feature").agg(F.sum("one").cast("int").alias("a"), F.sum("zero").cast("int").alias("b")).toArrow()
-    features, a, b = (counts[c].to_numpy() for c in ("feature", "a", "b"))
+        return Model(None, rate)
+    features, one, zero = _class_counts(examples)
+    idf = np.log((1 + docs.count()) / (1 + _document_counts(rows, features)))
+    strength = _strengths(one, zero, ones, zeros)
+    made = Core(features, idf, strength, _example_counts(examples, features), rate)
+    core, classes = docs.sparkSession.sparkContext.broadcast(made), made.labels
+    del made  # the driver needs it no more
+    return Model(core, rate, *_calibration(core, examples, classes))
+
+
+def _class_counts(examples: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted hashes of the examples' words, and in how many examples of either class each occurs."""
+    schema = pa.schema([("feature", pa.int64()), ("one", pa.int64()), ("zero", pa.int64())])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = Counter(), Counter()
+            for text, label in zip(strings(b.column(0)), b.column(1).to_pylist(), strict=True):
+                found[label].update(set(_WORD.findall(text.lower())))
+            words = list(found[0] | found[1])
+            yield from in_pieces(schema, [_hashed(words).view(np.int64), *(np.array([c[w] for w in words], np.int64) for c in found[::-1])])
+
+    counts = examples.select("text", "label").mapInArrow(of, "feature long, one long, zero long")
+    counts = counts.groupBy("feature").agg(F.sum("one").cast("int").alias("one"), F.sum("zero").cast("int").alias("zero")).toArrow()
+    features, one, zero = (counts[c].to_numpy() for c in ("feature", "one", "zero"))
     order = np.argsort(features.view(np.uint64))
-    features, a, b = features.view(np.uint64)[order], a[order].astype(np.float64), b[order].astype(np.float64)
-    del counts
+    return features.view(np.uint64)[order], one[order].astype(np.float64), zero[order].astype(np.float64)
+
+
+def _strengths(a: np.ndarray, b: np.ndarray, ones: int, zeros: int) -> np.ndarray:
+    """How well each word tells the classes apart, from LEAST_STRENGTH to 1."""
     cross = a * (zeros - b) - b * (ones - a)
     chi2 = (ones + zeros) * cross * cross / np.maximum(float(ones) * zeros * (a + b) * (ones + zeros - a - b), 1e-9)
     apart = np.abs(np.log((a + 0.5) / (ones + 1) * (zeros + 1) / (b + 0.5))) / np.log(RATIO)
-    strength = np.maximum(chi2 / (chi2 + CHI2) * np.minimum(1, apart), LEAST_STRENGTH)
-    shared = spark.sparkContext.broadcast(features)
+    return np.maximum(chi2 / (chi2 + CHI2) * np.minimum(1, apart), LEAST_STRENGTH)
+
 
-    count_schema = pa.schema([("feature", pa.int32()), ("n", pa.int64())])
+def _document_counts(rows: DataFrame, features: np.ndarray) -> np.ndarray:
+    """In how many of all documents each word of the examples occurs."""
+    shared = rows.sparkSession.sparkContext.broadcast(features)
+    schema = pa.schema([("feature", pa.int32()), ("n", pa.int64())])
 
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Vectors(shared.value, none)
-        sums = np.zeros(len(shared.value), np.int64)
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, sums = Vectors(shared.value, np.zeros(0)), np.zeros(len(shared.value), np.int64)
         for b in batches:
             for t in strings(b.column(0)):
-                sums[of.numbers(t)] += 1
-        yield from in_pieces(count_schema, [np.flatnonzero(sums), sums[sums > 0]])
+                sums[vectors.counts(t)[0]] += 1
+        yield from in_pieces(schema, [np.flatnonzero(sums), sums[sums > 0]])
 
-    total_docs = docs.count()
-    every = rows.select("text").mapInArrow(occurrences, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(len(features))
-    df[every["feature"].to_numpy()] = every["n"].to_numpy()
-    weights = ((np.log((1 + total_docs) / (1 + df)) + 1) * strength).astype(np.float32)
-    del every, cross, chi2, apart, strength, a, b
+    every = rows.select("text").mapInArrow(of, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(features))
+    counts[every["feature"].to_numpy()] = every["n"].to_numpy()
+    shared.destroy()
+    return counts
 
-    number_schema = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("at", pa.list_(pa.int32()))])
 
-    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = Vectors(shared.value, none)
+def _example_counts(examples: DataFrame, features: np.ndarray) -> list[tuple]:
+    """id, label, feature numbers and their counts of each example, by id."""
+    shared = examples.sparkSession.sparkContext.broadcast(features)
+    lists = [("at", pa.list_(pa.int32())), ("times", pa.list_(pa.int32()))]
+    schema = pa.schema([("id", pa.int64()), ("label", pa.int32()), *lists])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors = Vectors(shared.value, np.zeros(0))
         for b in batches:
             for low in range(0, b.num_rows, 200):
                 part = b.slice(low, 200)
-                yield batch(number_schema, part.column(0), part.column(1), [of.numbers(t).astype(np.int32) for t in strings(part.column(2))])
-
-    found = examples.select("label_id", F.col("label").cast("int"), "text").mapInArrow(numbers, "id long, label int, at array<int>").toArrow()
-    rows_of = []
-    for part in found.to_batches():
-        at = part.column(2)
-        rows_of += zip(part.column(0).to_pylist(), part.column(1).to_pylist(), (x.values.to_numpy() for x in at), strict=True)
-    del found
-    rows_of.sort(key=lambda r: r[0])
-    model = Model(features, weights, rows_of, rate)
-    del rows_of
-    return _calibrated(model, examples)
-
-
-def _calibrated(model: Model, examples: DataFrame) -> Model:
-    """The model with a logistic fit of the examples' votes, each without its own."""
-    shared = examples.sparkSession.sparkContext.broadcast(model)
+                found = [vectors.counts(t) for t in strings(part.column(2))]
+                yield batch(schema, part.column(0), part.column(1), *([f[k].astype(np.int32) for f in found] for k in (0, 1)))
+
+    found = examples.select("label_id", F.col("label").cast("int"), "text").mapInArrow(of, "id long, label int, at array<int>, times array<int>")
+    out = []
+    for part in found.toArrow().to_batches():
+        at, times = ([x.values.to_numpy() for x in part.column(k)] for k in (2, 3))
+        out += zip(part.column(0).to_pylist(), part.column(1).to_pylist(), at, times, strict=True)
+    shared.destroy()
+    return sorted(out, key=lambda r: r[0])
+
+
+def _calibration(core: Broadcast[Core], examples: DataFrame, classes: np.ndarray) -> tuple[float, float]:
+    """A logistic fit of the examples' votes, each without its own."""
     schema = pa.schema([("id", pa.int64()), ("vote", pa.float64())])
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = core.value
         for b in batches:
-            own, of = b.column(0).to_pylist(), shared.value
+            own = b.column(0).to_pylist()
             yield batch(schema, own, [of.vote(*of.vectors(t), of.number[i])[0] for i, t in zip(own, strings(b.column(1)), strict=True)])
 
     found = sorted((r["id"], r["vote"]) for r in examples.select("label_id", "text").mapInArrow(votes, "id long, vote double").collect())
-    model.slope, model.shift = logistic(np.array([v for _, v in found]), model.labels)
-    return model
+    return logistic(np.array([v for _, v in found]), classes)
 
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, score, predicted and the ids of the nearest examples, for each document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    score = model.scorer()
     schema = pa.schema([("id", pa.int64()), ("score", pa.float64()), ("neighbours", pa.list_(pa.int64()))])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [shared.value.score(t) for t in strings(b.column(1))]
+            found = [score(t) for t in strings(b.column(1))]
             yield batch(schema, b.column(0), [s for s, _ in found], [n for _, n in found])
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
@@ -338,11 +364,11 @@ def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The documents that the model does not reject; all columns unchanged."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    of = model.scorer()
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t or "")[0] for t in text], dtype="float64")
+        return pd.Series([of(t or "")[0] for t in text], dtype="float64")
 
     rows = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
     return rows.filter(score("text") < 0.5).select("row.*")
