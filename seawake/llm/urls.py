@@ -4,16 +4,15 @@ Rules are (host, path) prefixes; the longest that fits decides.  All other
 URLs are judged by a tree of path templates that is grown level by level:
 
 1. A node is a host with a template of the path so far.  A child segment that
-   at least ``SUPPORT`` per cent of the host's URLs share stays as it is; rarer
-   ones are variable and become a wildcard of their shape (digits, hexadecimal,
-   word, other).  A share does not change when the table grows evenly.
-2. Literal children of a node that cannot be told apart are merged: the same
-   shapes below them in like shares, and the same labelled purity within its
-   standard error.
+   at least ``SUPPORT`` per cent of the node's URLs share, by the lower end of
+   the share's interval, stays as it is; rarer ones are variable and become a
+   wildcard of their shape (digits, hexadecimal, word, other).
+2. Literal children of a node are put in order of their labels and shapes, and
+   neighbours that a two-sample test cannot tell apart are merged.
 3. The rules' verdicts label the URLs they fit.  A template's purity is its
    share of blocked labels, smoothed towards its host's, which is smoothed
-   towards that of all hosts.  Templates of at least ``REJECT`` are blocked;
-   one without any label of its own is allowed.
+   towards that of all hosts.  Templates of at least ``REJECT`` are blocked,
+   with or without labels of their own.
 
 Every step groups or joins on nodes; counts are summed before they are
 shuffled, and URLs are reduced to distinct (host, path) first.  Each counts
@@ -22,19 +21,20 @@ once, so how often its rows are repeated changes no verdict.
 Defined cases: a null URL or one without "://" has an empty host and path and
 is judged like any other; empty segments are segments; segments beyond
 ``DEPTH`` form one last segment; repeated rows are judged each; a null id is
-kept; an empty table gives no rows; further columns are ignored.
+kept; siblings of equal rank in the order are ordered by name; an empty table
+gives no rows; paths of any length are read whole; further columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seawake.llm.common import UPPER, stored
 
 #: (host, path, verdict) of the production rules.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-#: Least share of a literal segment in its host, in per cent.
+#: Least share of a literal segment in its node, in per cent.
 SUPPORT = 20
 DEPTH = 8
 REJECT = 0.5
@@ -57,6 +57,10 @@ def path_of(url: Column) -> Column:
     return F.when(F.coalesce(at, F.lit(0)) > 0, path).otherwise("")
 
 
+#: File endings that shapes of lower segments tell apart.
+USUAL_ENDINGS = ("html", "htm", "php", "asp", "aspx", "jsp", "pdf", "jpg", "jpeg", "png", "gif", "xml", "json", "txt", "css", "js")
+
+
 def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """Name and verdict of the longest rule that fits, or nulls."""
     name = verdict = F.lit(None).cast("string")
@@ -89,22 +93,23 @@ def _segments(path: Column) -> Column:
 def templates(urls: DataFrame, support: int = SUPPORT) -> DataFrame:
     """Template of each distinct (host, path); ``urls`` has these with n, n_block, n_label."""
     nodes = stored(urls.select("*", _segments(F.col("path")).alias("parts"), F.lit("").alias("template")), "url-level")
-    whole = stored(nodes.groupBy("host").agg(F.sum("n").alias("whole")), "url-hosts")
     depth = nodes.agg(F.max(F.size("parts"))).first()[0] or 0
     for level in range(depth):
         segment = F.when(F.size("parts") > level, F.element_at("parts", level + 1))
         here = nodes.withColumn("segment", segment)
-        below = F.coalesce(shape(F.when(F.size("parts") > level + 1, F.element_at("parts", level + 2))), F.lit("{end}"))
+        below = F.coalesce(_usual(shape(F.when(F.size("parts") > level + 1, F.element_at("parts", level + 2)))), F.lit("{end}"))
         children = here.filter("segment is not null").groupBy("host", "template", "segment", below.alias("below"))
         children = children.agg(F.sum("n").alias("n"), F.sum("n_block").alias("n_block"), F.sum("n_label").alias("n_label"))
         literal = children.groupBy("host", "template", "segment").agg(
             F.sum("n").alias("n"),
             F.sum("n_block").alias("n_block"),
             F.sum("n_label").alias("n_label"),
-            # bounded: shapes with the usual file endings, and one for all others
+            # bounded: kinds with the usual file endings, and one for all others
             F.map_from_entries(F.array_sort(F.collect_list(F.struct("below", "n")))).alias("shapes"),
         )
-        literal = literal.join(whole, "host").filter(F.col("n") * 100 >= F.col("whole") * support).drop("whole")
+        # every URL that reaches the node counts, also those that end here
+        whole = here.groupBy("host", "template").agg(F.sum("n").alias("whole"))
+        literal = literal.join(whole, ["host", "template"]).filter(_least_share(F.col("n"), F.col("whole")) * 100 >= support).drop("whole")
         literal = stored(_merged(literal), "url-literals")
         named = here.join(literal, ["host", "template", "segment"], "left")
         step = F.when(F.col("segment").isNull(), "").otherwise(F.concat(F.lit("/"), F.coalesce("merged", shape(F.col("segment")))))
@@ -113,19 +118,62 @@ def templates(urls: DataFrame, support: int = SUPPORT) -> DataFrame:
     return nodes.drop("parts")
 
 
+def _usual(name: Column) -> Column:
+    """A shape whose file ending, if it is not a usual one, is left open."""
+    ending = F.regexp_extract(name, r"\.([a-z]{2,5})$", 1)
+    return F.when((ending == "") | ending.isin(*USUAL_ENDINGS), name).otherwise(F.concat(F.regexp_extract(name, r"^(\{[a-z]+\})", 1), F.lit(".{other}")))
+
+
+def _least_share(n: Column, whole: Column) -> Column:
+    """Lower end of the Wilson interval of a share, one standard error wide."""
+    share = n / whole
+    return (share + 0.5 / whole - F.sqrt(share * (1 - share) / whole + 0.25 / (whole * whole))) / (1 + 1 / whole)
+
+
+def _two_samples(one: Column, other: Column) -> Column:
+    """Whether two counts by category (maps) differ: G statistic against the chi-squared distribution."""
+
+    def part(x: Column) -> Column:
+        return F.when(x > 0, x * F.log(x)).otherwise(0.0)
+
+    def total(of: Column) -> Column:
+        return F.aggregate(of, F.lit(0.0), lambda acc, x: acc + x)
+
+    keys = F.array_union(F.map_keys(one), F.map_keys(other))
+
+    def counts(of: Column) -> Column:
+        return F.transform(keys, lambda k: F.coalesce(of[k], F.lit(0)).cast("double"))
+
+    left, right = counts(one), counts(other)
+    sums = F.zip_with(left, right, lambda x, y: x + y)
+    inner = total(F.transform(left, part)) + total(F.transform(right, part)) - total(F.transform(sums, part))
+    g = 2 * (inner + part(total(sums)) - part(total(left)) - part(total(right)))
+    # upper hundredth of chi-squared, by Wilson and Hilferty
+    free = F.greatest(F.size(keys) - 1, F.lit(1)).cast("double")
+    critical = free * F.pow(1 - 2 / (9 * free) + 2.326 * F.sqrt(2 / (9 * free)), F.lit(3.0))
+    return F.coalesce((F.size(keys) > 1) & (g > critical), F.lit(False))
+
+
 def _merged(literal: DataFrame) -> DataFrame:
-    """One name for literal siblings that cannot be told apart: the first of them.
+    """One name for literal siblings that cannot be told apart: the first of each run.
 
-    Siblings are grouped by what they have in common, so that no two need be
-    compared: shares of shapes below in eighths, and purity in steps of its
-    standard error at the least support, an eighth.
+    A node has few literal siblings, as each has a fifth of it.  They are put
+    in order of their labels and shapes, and a run ends where two neighbours
+    differ, in the shapes below or in how many are blocked, allowed and without
+    a label, by a test that takes their sizes into account.
     """
-    shares = F.transform(F.map_entries("shapes"), lambda e: F.concat(e["key"], F.lit(":"), F.round(e["value"] * 8 / F.col("n")).cast("int")))
-    purity = F.when(F.col("n_label") > 0, F.round(F.col("n_block") * 8 / F.col("n_label"))).otherwise(-1).cast("int")
-    kind = F.concat_ws(",", F.sort_array(shares), purity.cast("string"))
-    kinds = literal.select("host", "template", "segment", "n", F.xxhash64(kind).alias("kind"))
-    names = kinds.groupBy("host", "template", "kind").agg(F.min("segment").alias("merged"))
-    return kinds.join(names, ["host", "template", "kind"]).select("host", "template", "segment", "merged")
+    labels = F.create_map(
+        F.lit("block"), F.col("n_block"), F.lit("allow"), F.col("n_label") - F.col("n_block"), F.lit("none"), F.col("n") - F.col("n_label")
+    )
+    rows = literal.withColumn("labels", F.map_filter(labels, lambda _, n: n > 0))
+    largest = F.array_max(F.transform(F.map_entries("shapes"), lambda e: F.struct(e["value"], e["key"])))["key"]
+    order = Window.partitionBy("host", "template").orderBy(F.col("n_block") / F.col("n"), F.col("n_label") / F.col("n"), largest, "segment")
+    other, before = F.lag("shapes").over(order), F.lag("labels").over(order)
+    rows = rows.withColumns({"other": other, "before": before})
+    new = F.col("other").isNull() | _two_samples(F.col("shapes"), F.col("other")) | _two_samples(F.col("labels"), F.col("before"))
+    rows = rows.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(order))
+    run = Window.partitionBy("host", "template", "run")
+    return rows.select("host", "template", "segment", F.min("segment").over(run).alias("merged"))
 
 
 def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", support: int = SUPPORT) -> DataFrame:
@@ -146,9 +194,10 @@ def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     rate = (total["n_block"] or 0) / max(1, total["n_label"] or 0)
     host_purity = (F.col("h_block") + TOTAL_WEIGHT * rate) / (F.col("h_label") + TOTAL_WEIGHT)
     purity = (F.col("n_block") + HOST_WEIGHT * host_purity) / (F.col("n_label") + HOST_WEIGHT)
-    scored = stored(by_template.join(by_host, "host").select("host", "template", "n_label", purity.alias("purity")), "url-purity")
-    rejected = (F.col("purity") >= REJECT) & (F.col("n_label") > 0)
-    judged = known.drop("n_label").join(scored, ["host", "template"]).select(
+    scored = stored(by_template.join(by_host, "host").select("host", "template", purity.alias("purity")), "url-purity")
+    # also for a template without a label of its own: then the host's purity and the general rate decide
+    rejected = F.col("purity") >= REJECT
+    judged = known.join(scored, ["host", "template"]).select(
         "host",
         "path",
         "rule",

@@ -10,7 +10,7 @@ import pytest
 from seawake.llm import toxicity
 from seawake.llm.languages import declared_language, languages_of, page_text, trigrams
 from seawake.llm.toxicity import BlockMaxIndex
-from seawake.llm.urls import RULES, judge, templates
+from seawake.llm.urls import HOST_WEIGHT, REJECT, RULES, TOTAL_WEIGHT, judge, templates
 
 # --- toxicity -----------------------------------------------------------------
 
@@ -193,8 +193,9 @@ def test_templates_grow_merge_and_judge(spark):
     assert rows["http://h.x/worse/130"]["template"] == "/bad/{number}"
     assert rows["http://h.x/good/130"]["template"] != rows["http://h.x/bad/130"]["template"]
     assert rows["http://h.x/rare3/3"]["template"] == "/{other}/{number}"
-    assert {rows[f"http://h.x/{k}/130"]["verdict"] for k in ("bad", "worse")} == {"block"}
-    assert {rows[f"http://h.x/{k}/130"]["verdict"] for k in ("good", "plain")} == {"allow"}
+    # two thirds of the host's labels block, which decides for a template without labels of its own
+    assert {rows[f"http://h.x/{k}/130"]["verdict"] for k in ("bad", "worse", "plain")} == {"block"}
+    assert rows["http://h.x/good/130"]["verdict"] == "allow"
 
 
 def test_purity_is_smoothed_towards_the_host(spark):
@@ -220,3 +221,36 @@ def test_repeated_rows_and_even_growth_change_no_verdict(spark):
     assert (8, "block") in once  # no rule fits, its template is blocked
     assert verdicts(30, 1) == once
     assert verdicts(1, 30) == once
+
+
+def test_two_samples_take_sizes_into_account(spark):
+    from seawake.llm.urls import _two_samples
+
+    cases = [({"a": 6, "b": 4}, {"a": 4, "b": 6}, False), ({"a": 600, "b": 400}, {"a": 400, "b": 600}, True), ({"a": 5}, {"a": 900}, False)]
+    cases += [({"a": 30}, {"b": 30}, True), ({"a": 1}, {"b": 1}, False), ({"a": 50, "b": 1}, {"a": 70}, False)]
+    df = spark.createDataFrame(cases, "one map<string, long>, other map<string, long>, want boolean")
+    assert df.filter(_two_samples(df["one"], df["other"]) != df["want"]).isEmpty()
+
+
+def test_every_template_is_judged_by_its_smoothed_purity(spark):
+    """The verdicts against a plain count of templates, with labels of some hosts only."""
+    rng = random.Random(5)
+    rules = (("a.x", "/bad/", "block"), ("b.x", "/ok/", "allow"), ("c.x", "/t/1", "block"))
+    urls = [f"http://{h}/{d}/{rng.randrange(100, 300)}" for h in ("a.x", "b.x", "c.x", "d.x") for d in ("bad", "ok", "t") for _ in range(40)]
+    rows = judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    distinct = {(r["host"], r["path"]): r for r in rows}
+    counts, hosts, total = {}, {}, [0, 0]
+    for (host, _), r in distinct.items():
+        if r["rule"] is not None:
+            fit = next(v for h, p, v in rules if h + p == r["rule"])
+            for of in (counts.setdefault((host, r["template"]), [0, 0]), hosts.setdefault(host, [0, 0]), total):
+                of[0] += fit == "block"
+                of[1] += 1
+    for (host, _), r in distinct.items():
+        (n, m), (hn, hm) = counts.get((host, r["template"]), (0, 0)), hosts.get(host, (0, 0))
+        host_purity = (hn + TOTAL_WEIGHT * total[0] / total[1]) / (hm + TOTAL_WEIGHT)
+        purity = (n + HOST_WEIGHT * host_purity) / (m + HOST_WEIGHT)
+        assert abs(r["purity"] - purity) < 1e-9
+        if r["rule"] is None:
+            assert r["verdict"] == ("block" if purity >= REJECT else "allow")
+    assert {r["verdict"] for r in rows if r["host"] == "d.x"} == {"block" if total[0] * 2 >= total[1] else "allow"}
