@@ -7,7 +7,7 @@ window functions over whole segments, summaries straight from messages.
 
 from __future__ import annotations
 
-from seawake.config import REGION_LAYERS, WHITELISTED_RFMOS
+from seawake.config import WHITELISTED_RFMOS
 from seawake.functions.cells import hilbert_steps
 
 # name -> (names it reads, SQL)
@@ -15,7 +15,11 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {}
 ORACLES: dict[str, str] = {}
 
 WHITELIST = "(" + ", ".join(f"'{code}'" for code in WHITELISTED_RFMOS) + ")"
-SAMPLE_LAYERS = ("rfmo", "eez", "mpa", "high_seas", "major_fao")
+# The region layers of the published layout.
+REGION_LAYERS = (
+    "eez", "mpa", "mpa_no_take", "mpa_no_take_partial", "high_seas", "rfmo", "fao",
+    "major_fao", "eez12nm", "hsp", "protectedseas", "duke_paa", "fra_gfcm_fao",
+)
 
 
 def cte(name: str, sql: str, *reads: str) -> str:
@@ -557,8 +561,9 @@ check("summarize_events_night", f"select {SUMMARY_OUT} from {KEPT_NIGHT}", KEPT_
 check(
     "event_point_lists",
     f"""
-    select k.event_id, string_agg(printf('%.7f', m.lon) || ' ' || printf('%.7f', m.lat), ', ' order by m.timestamp) as points_wkt,
-      count(*) as points, string_agg(printf('%.7f', m.lon), ' ' order by m.timestamp) as lons
+    select k.event_id, string_agg(printf('%.9f', m.lon) || ' ' || printf('%.9f', m.lat), ', ' order by m.timestamp) as points_wkt,
+      count(*) as points, string_agg(printf('%.9f', m.lon), ' ' order by m.timestamp) as lons,
+      string_agg(printf('%.9f', m.lat), ' ' order by m.timestamp) as lats
     from kept_{NNET} k join owned_{NNET} m using (seg_id, event_start, vessel_id) group by k.event_id
     """,
     f"kept_{NNET}",
@@ -656,6 +661,7 @@ cte(
     "boxes",
 )
 check("region_match", "select * from fishing_regions", "fishing_regions")
+check("region_match_covered", "select * from fishing_regions", "fishing_regions")
 
 
 def xyz(lon: str, lat: str) -> tuple[str, str, str]:
@@ -695,7 +701,7 @@ check("event_regions", f"select event_id, {layer_columns(REGION_LAYERS)} from fi
 
 
 def layered(name: str, regions: str) -> str:
-    return cte(name, f"select event_id, {layer_columns(SAMPLE_LAYERS)} from {regions} group by 1", regions)
+    return cte(name, f"select event_id, {layer_columns(REGION_LAYERS)} from {regions} group by 1", regions)
 
 
 layered("fishing_layers", "fishing_regions")
@@ -787,7 +793,7 @@ check(
     BOTH,
     "fishing_measures",
 )
-IN_LAYERS = ", ".join(f"in_{layer}" for layer in SAMPLE_LAYERS)
+IN_LAYERS = ", ".join(f"in_{layer}" for layer in REGION_LAYERS)
 NO_LIST = '[{"rfmo":null,"has_publicly_listed_authorization":null}]'
 RISK = "status = 'not_matching_relevant_public_authorization' and not eez"
 cte(
@@ -1104,7 +1110,7 @@ check(
     f"""
     select seg_id, timestamp, case when nnet_score = 0 then null else ssvid end as shown_ssvid,
       case when lon < 0 then lon + 180 else lon - 180 end as opposite, {grid('lon', 'lat')} as code,
-      printf('%.7f', lon) as lon_text, 1.5::double as km, floor(speed_knots) * 1.852::double as nm_km,
+      lon as lon_read_back, 1.5::double as km, floor(speed_knots) * 1.852::double as nm_km,
       {hash_id('fishing', 'ssvid', 'timestamp', 'timestamp')} as id, cast(timestamp as date) as day,
       cast(timestamp as date) - 1 as day_before, extract(year from timestamp) as year,
       date_diff('second', date_trunc('day', timestamp), timestamp) as second_of_day,

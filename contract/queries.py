@@ -28,7 +28,7 @@ from seawake.functions.scalars import (
     seconds_between,
 )
 from seawake.operators import authorization as auth
-from seawake.operators import identity, regions, summarize
+from seawake.operators import coverings, identity, regions, summarize
 from seawake.operators import sessionize as ses
 from seawake.operators.joins import range_join, semi
 from seawake.operators.voyages import destination_port, next_voyage
@@ -83,7 +83,6 @@ def layer_texts(layers: tuple[str, ...] = REGION_LAYERS) -> list[Column]:
     return [F.array_join(F.col("regions_mean_position")[layer], ",").alias(f"in_{layer}") for layer in layers]
 
 
-SAMPLE_LAYERS = ("rfmo", "eez", "mpa", "high_seas", "major_fao")
 DISTANCES = (
     "start_distance_from_shore_km",
     "end_distance_from_shore_km",
@@ -312,14 +311,20 @@ def summarize_events_night(i: Inputs) -> DataFrame:
     )
 
 
+def nine(number: Column) -> Column:
+    return F.format_string("%.9f", number.cast("double"))
+
+
 @query
 def event_point_lists(i: Inputs) -> DataFrame:
     events = summarize.summarize_events(i.state(), score_field="nnet_score", **i.vessel_inputs())
     return events.select(
         "event_id",
-        "points_wkt",
+        # read back from the stored text, and written with fewer digits, as engines differ in the last ones
+        F.array_join(F.transform(F.split("points_wkt", ", "), lambda p: F.array_join(F.transform(F.split(p, " "), nine), " ")), ", ").alias("points_wkt"),
         F.size("geo_info").cast("long").alias("points"),
-        F.array_join(F.transform("geo_info", lambda g: float_text(g["point"]["lon"])), " ").alias("lons"),
+        F.array_join(F.transform("geo_info", lambda g: nine(g["point"]["lon"])), " ").alias("lons"),
+        F.array_join(F.transform("geo_info", lambda g: nine(g["point"]["lat"])), " ").alias("lats"),
     )
 
 
@@ -374,6 +379,14 @@ def region_match(i: Inputs) -> DataFrame:
     return matches(i)
 
 
+@query
+def region_match_covered(i: Inputs) -> DataFrame:
+    """The same by S2 cells, those inside a region apart from those that its edges may touch."""
+    points = regions.with_cell(i.points().drop("cell"))
+    classed = coverings.classed_regions(samples.covered_regions(i.regions, points), "planar").checkpoint()
+    return regions.match_regions(points, classed, "within", "planar")
+
+
 @query
 def region_match_spherical(i: Inputs) -> DataFrame:
     return matches(i, "spherical")
@@ -448,7 +461,7 @@ def fishing_columns(df: DataFrame) -> DataFrame:
         "lat_max",
         "lon_min",
         "lon_max",
-        *layer_texts(SAMPLE_LAYERS),
+        *layer_texts(),
         *DISTANCES,
         field("event_info", "$.message_count", "messages"),
         number("event_info", "$.avg_duration_hrs", 9, "avg_duration_hrs"),
@@ -513,7 +526,7 @@ def port_columns(df: DataFrame) -> DataFrame:
         "event_start",
         "event_end",
         *POSITIONS,
-        *layer_texts(SAMPLE_LAYERS),
+        *layer_texts(),
         *DISTANCES,
         number("event_info", "$.duration_hrs", 6, "duration_hrs"),
         field("event_info", "$.visit_id", "visit_id"),
@@ -596,7 +609,7 @@ def loitering_events(i: Inputs) -> DataFrame:
         "event_start",
         "event_end",
         *POSITIONS,
-        *layer_texts(SAMPLE_LAYERS),
+        *layer_texts(),
         *DISTANCES,
         number("event_info", "$.loitering_hours", 9, "loitering_hours"),
         number("event_info", "$.total_distance_km", 6, "total_distance_km"),
@@ -679,7 +692,7 @@ def encounter_events(i: Inputs) -> DataFrame:
         "event_start",
         "event_end",
         *POSITIONS,
-        *layer_texts(SAMPLE_LAYERS),
+        *layer_texts(),
         *DISTANCES,
         number("event_info", "$.median_distance_km", 6, "median_distance_km"),
         number("event_info", "$.median_speed_knots", 6, "median_speed_knots"),
@@ -708,7 +721,7 @@ def scalar_helpers(i: Inputs) -> DataFrame:
         filter_invalid_ssvid(F.when(F.col("nnet_score") == 0, F.repeat(F.lit("h"), 64)).otherwise(F.col("ssvid"))).alias("shown_ssvid"),
         anti_lon(lon).alias("opposite"),
         gridcode(lon, lat).alias("code"),
-        float_text(lon).alias("lon_text"),
+        float_text(lon).cast("double").alias("lon_read_back"),
         m_to_km(F.lit(1500.0)).alias("km"),
         nm_to_km(F.floor("speed_knots").cast("double")).alias("nm_km"),
         event_id("fishing", F.col("ssvid"), ts, ts).alias("id"),

@@ -69,8 +69,16 @@ def mirrored_id(encounter_id: Column, side: int) -> Column:
 
 
 def float_text(value: Column) -> Column:
-    """Fixed text of a coordinate, the same on every engine."""
-    return F.when(value.isNotNull(), F.format_string("%.7f", value))
+    """Text of a number with all its digits: it reads back as the same double, and has no exponent.
+
+    Whole numbers have no decimals.
+    """
+    number = value.cast("double")
+    # where Spark would write an exponent, decimals wide enough for every digit
+    wide = F.when(F.abs(number) < 1, number.cast("decimal(38,36)").cast("string")).otherwise(number.cast("decimal(38,10)").cast("string"))
+    text = F.when((F.abs(number) >= 1e-3) & (F.abs(number) < 1e7), number.cast("string")).otherwise(wide)
+    shorter = F.regexp_replace(text, r"(\.[0-9]*?)0+$", "$1")
+    return F.regexp_replace(shorter, r"\.$", "")
 
 
 def seconds_between(start: Column, end: Column) -> Column:

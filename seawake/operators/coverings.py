@@ -35,7 +35,8 @@ def classed_cells(cells: DataFrame, regions: DataFrame, edges: str) -> DataFrame
     near it and its centre is outside.  Boxes around cells are somewhat too
     large, which makes a cell a boundary cell for nothing now and then.
     """
-    placed = cells.withColumn("box", cell_bounds(F.col("cell"), F.col("level")))
+    # as the output of a generator, a box is computed once and not again for each of its uses
+    placed = cells.select("*", F.explode(F.array(cell_bounds(F.col("cell"), F.col("level")))).alias("box"))
     placed = placed.withColumn("band", F.explode(bands_between(F.col("box.west"), F.col("box.east"), edges)))
     near = placed.join(region_edges(regions, edges), [*SHAPE, "band"])
     box = F.col("box")

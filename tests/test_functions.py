@@ -10,6 +10,7 @@ from seawake.functions.geo import anti_lon, dateline_bbox, distance_m, point, po
 from seawake.functions.scalars import (
     event_id,
     filter_invalid_ssvid,
+    float_text,
     gridcode,
     is_whitelisted_rfmo,
     nfc,
@@ -183,3 +184,12 @@ def test_regions_across_the_dateline_keep_their_meridian(spark):
     for mode in ("within", "intersects"):
         assert {r["event_id"] for r in match_regions(df, regions, mode).collect()} == set("abcd") | {"f"}
         assert {r["event_id"] for r in match_regions_of_places(df, regions, mode).collect()} == set("abcd") | {"f"}
+
+
+def test_number_text_keeps_every_digit(spark):
+    """Texts read back as the same doubles, without exponents or needless zeros."""
+    numbers = spark.range(3000).select(((F.rand(1) - 0.5) * F.pow(F.lit(10.0), (F.col("id") % 9) - 4.0)).alias("x"))
+    numbers = numbers.unionByName(spark.createDataFrame([(x,) for x in (0.0, 10.0, -180.0, 1e-5, 0.1, 1e-9, 100.0, 1234567.5)], "x double")).checkpoint()
+    texts = numbers.select("x", float_text(F.col("x")).alias("t")).checkpoint()
+    assert texts.filter(~F.col("t").rlike(r"^-?[0-9]+(\.[0-9]*[1-9])?$") | (F.col("t").cast("double") != F.col("x"))).isEmpty()
+    assert [value(spark, float_text(F.lit(x))) for x in (10.0, -0.5, 1e-5, None)] == ["10", "-0.5", "0.00001", None]
