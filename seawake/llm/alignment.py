@@ -310,7 +310,7 @@ def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 def _frequent(counts: DataFrame, most: int) -> int:
     """The least power of two such that at most so many pairs have as many links."""
     sizes = {r["level"]: r["count"] for r in counts.groupBy(F.length(F.bin("links")).alias("level")).count().collect()}
-    total, least = 0, 64
+    total, least = 0, 63
     for level in sorted(sizes, reverse=True):
         total += sizes[level]
         if total > most:
