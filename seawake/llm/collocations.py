@@ -46,8 +46,8 @@ TOP = 2000
 MAX_SLOTS = 1 << 28
 #: Words and pairs for each slot that a table of slots is made for.
 SLOT_LOAD = 8
-#: Words held by a task before its counts leave it; words a worker keeps.
-FLUSH = 1 << 21
+#: Windows or slots that a task holds before it sums them; words a worker keeps.
+FLUSH = 1 << 20
 KEPT_WORDS = 400_000
 #: Texts that are split at once, by their bytes.
 SPLIT_BYTES = 4 << 20
@@ -250,20 +250,23 @@ def counted_windows(rows: DataFrame, slots: int, least: int) -> DataFrame:
     schema = pa.schema([("lang", pa.string()), *((w, pa.string()) for w in WORDS), ("n", pa.int64())])
     bits = 21
 
-    def flush(read: Reader, held: list[tuple[str, np.ndarray]], others: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    def summed(windows: np.ndarray, counts: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Each window once, with the sum of its counts."""
+        keys = list(windows.T)
+        if words < 1 << bits:  # three columns in one integer and two in another, 0 for null
+            keys = [(windows[:, 0] << 2 * bits) | (windows[:, 1] << bits) | windows[:, 2], (windows[:, 3] << bits) | windows[:, 4]]
+        order = np.lexsort(keys[::-1])
+        changed = np.zeros(max(0, len(order) - 1), bool)
+        for key in keys:
+            changed |= np.diff(key[order]) != 0
+        first = np.flatnonzero(np.r_[len(order) > 0, changed])
+        return windows[order[first]], np.add.reduceat(counts[order], first) if len(first) else counts[:0]
+
+    def flush(read: Reader, held: dict[str, list], others: dict[str, int]) -> Iterator[pa.RecordBatch]:
         words = list(read.numbers)
-        for lang in sorted({x for x, _ in held}):
-            windows = np.concatenate([w for x, w in held if x == lang])
-            keys = list(windows.T)
-            if len(words) < 1 << bits:  # three columns in one integer and two in another, 0 for null
-                keys = [(windows[:, 0] << 2 * bits) | (windows[:, 1] << bits) | windows[:, 2], (windows[:, 3] << bits) | windows[:, 4]]
-            order = np.lexsort(keys[::-1])
-            changed = np.zeros(max(0, len(order) - 1), bool)
-            for key in keys:
-                changed |= np.diff(key[order]) != 0
-            first = np.flatnonzero(np.r_[len(order) > 0, changed])
-            counts, windows = np.diff(np.r_[first, len(order)]), windows[order[first]]
-            for at in range(0, len(first), 50_000):
+        for lang, parts in held.items():
+            windows, counts = summed(*map(np.concatenate, zip(*parts, strict=True)), len(words))
+            for at in range(0, len(windows), 50_000):
                 part = windows[at : at + 50_000]
                 used, place = np.unique(part, return_inverse=True)
                 texts = np.array([None if u == 0 else words[u - 1].decode() for u in used.tolist()], object)[place.reshape(part.shape)]
@@ -272,7 +275,7 @@ def counted_windows(rows: DataFrame, slots: int, least: int) -> DataFrame:
             yield batch(schema, [lang], *[[None]] * LONGEST, [n])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read, held, others, size = Reader(), [], {}, 0
+        read, held, others, size, most = Reader(), {}, {}, 0, FLUSH
         for languages, texts in _parts(batches):
             ids, piece, text = read(texts)
             hashes, seeds = read.hashes[ids], _language_seeds(languages, text)
@@ -296,14 +299,17 @@ def counted_windows(rows: DataFrame, slots: int, least: int) -> DataFrame:
             for lang in set(languages):
                 own = language == lang
                 mine = windows[own[begins]]
-                held.append((lang, mine))
+                held.setdefault(lang, []).append((mine, np.ones(len(mine), np.int64)))
                 others[lang] = others.get(lang, 0) + int(own.sum()) - len(mine)
             size += len(begins)
-            if size >= FLUSH or read.full:
+            if size >= most:  # windows that came again are one
+                held = {x: [summed(*map(np.concatenate, zip(*parts, strict=True)), len(read.numbers))] for x, parts in held.items()}
+                size = sum(len(parts[0][0]) for parts in held.values())
+                most = max(FLUSH, 2 * size)
+            if size >= 4 * FLUSH or read.full:
                 yield from flush(read, held, others)
-                held, others, size = [], {}, 0
-                if read.full:
-                    read.clear()
+                held, others, size, most = {}, {}, 0, FLUSH
+                read.clear()
         yield from flush(read, held, others)
 
     names = ", ".join(f"{w} string" for w in WORDS)
