@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from seawake.llm.common import batch, in_pieces, stored, strings
 
 #: Bounds of the labelled sample, in documents and in bytes of their texts.
-EXAMPLES = 6000
+EXAMPLES = 2000
 EXAMPLE_BYTES = 64 << 20
 #: Neighbours that vote, and those that are named as evidence.
 NEIGHBOURS = 200
@@ -56,6 +56,8 @@ EVIDENCE = 15
 CHI2 = 20.0
 #: Ratio of the document frequencies of full strength; common words that lean to a class are weak evidence.
 RATIO = 8.0
+#: Words of less than this strength all have the least one.
+WEAK = 0.05
 LEAST_STRENGTH = 1e-3
 #: Weight of the general rate in a vote.
 RATE_WEIGHT = 0.002
@@ -126,10 +128,24 @@ class BlockMaxIndex:
         own_block = self.place // block
         self.starts = np.flatnonzero(np.r_[len(by) > 0, (columns[1:] != columns[:-1]) | (own_block[1:] != own_block[:-1])][: len(by)])
         self.ends = np.r_[self.starts[1:], len(by)][: len(self.starts)]
+        self.bounds = np.r_[self.starts, len(by)]
         self.in_block = own_block[self.starts]
         self.largest = np.maximum.reduceat(self.weight, self.starts) if len(by) else np.zeros(0)
         self.entries = np.r_[0, np.cumsum(np.bincount(columns[self.starts], minlength=features))]
 
+    def products(self, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Products of some features' weights with those of all examples, by their numbers."""
+        first, last = self.starts_of(at)
+        sizes = last - first
+        places = _spread(first, sizes)
+        out = np.zeros(len(self.example))
+        out[self.example] = np.bincount(self.place[places], self.weight[places] * np.repeat(weights, sizes), len(out))
+        return out
+
+    def starts_of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First posting of each feature, and the one after its last."""
+        return self.bounds[self.entries[at]], self.bounds[self.entries[at + 1]]
+
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples of positive cosine, nearest first."""
         sizes = self.entries[at + 1] - self.entries[at]
@@ -138,7 +154,7 @@ class BlockMaxIndex:
         bounds = np.bincount(in_block, self.largest[entries] * query, self.blocks)
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
-        total, least, done, step = np.zeros(len(self.example)), 0.0, 0, 4
+        total, least, done, step = np.zeros(len(self.example)), 0.0, 0, 8
         chosen = np.zeros(self.blocks, bool)
         while done < len(order) and bounds[order[done]] >= least - 1e-9:
             now = order[done : done + step]
@@ -169,24 +185,18 @@ class Core:
         units = [self.vectors.unit(e[2], e[3]) for e in examples]
         units = [(at.astype(np.int32), w.astype(np.float32)) for at, w in units]
         self.index = BlockMaxIndex(units, len(features))
-        # weights by example, for the votes
-        sizes = np.array([len(at) for at, _ in units], np.int64)
-        self.bounds = np.r_[0, np.cumsum(sizes)]
-        self.columns = np.concatenate([np.zeros(0, np.int32), *(at for at, _ in units)])
-        self.told = np.concatenate([np.zeros(0, np.float32), *(w for _, w in units)]) * strength.astype(np.float32)[self.columns]
-        self.query, self.rate = np.zeros(len(features)), rate
+        self.told, self.rate = np.where(strength > LEAST_STRENGTH, strength - LEAST_STRENGTH, 0.0), rate
 
     def vote(self, at: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, np.ndarray]:
         """Weighted share of label 1 among the neighbours, and the numbers of those that weigh most."""
         if not len(at):
             return self.rate, np.zeros(0, np.int64)
-        found, _ = self.index.nearest(at, weights, NEIGHBOURS + (without >= 0))
-        found = found[found != without][:NEIGHBOURS]
-        self.query[at] = weights
-        sizes = self.bounds[found + 1] - self.bounds[found]
-        places = _spread(self.bounds[found], sizes)
-        told = np.bincount(np.repeat(np.arange(len(found)), sizes), self.query[self.columns[places]] * self.told[places], len(found))
-        self.query[at] = 0
+        found, cosines = self.index.nearest(at, weights, NEIGHBOURS + (without >= 0))
+        kept = np.flatnonzero(found != without)[:NEIGHBOURS]
+        found, cosines = found[kept], cosines[kept]
+        strong = np.flatnonzero(self.told[at])
+        more = self.index.products(at[strong], weights[strong] * self.told[at[strong]])[found]
+        told = LEAST_STRENGTH * cosines + more
         share = (told @ self.labels[found] + RATE_WEIGHT * self.rate) / (told.sum() + RATE_WEIGHT)
         return float(share), found[np.argsort(-told, kind="stable")[:EVIDENCE]]
 
@@ -283,11 +293,12 @@ def _class_counts(examples: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def _strengths(a: np.ndarray, b: np.ndarray, ones: int, zeros: int) -> np.ndarray:
-    """How well each word tells the classes apart, from LEAST_STRENGTH to 1."""
+    """How well each word tells the classes apart: from WEAK to 1, or LEAST_STRENGTH."""
     cross = a * (zeros - b) - b * (ones - a)
     chi2 = (ones + zeros) * cross * cross / np.maximum(float(ones) * zeros * (a + b) * (ones + zeros - a - b), 1e-9)
     apart = np.abs(np.log((a + 0.5) / (ones + 1) * (zeros + 1) / (b + 0.5))) / np.log(RATIO)
-    return np.maximum(chi2 / (chi2 + CHI2) * np.minimum(1, apart), LEAST_STRENGTH)
+    strength = chi2 / (chi2 + CHI2) * np.minimum(1, apart)
+    return np.where(strength >= WEAK, strength, LEAST_STRENGTH)
 
 
 def _document_counts(rows: DataFrame, features: np.ndarray) -> np.ndarray:
