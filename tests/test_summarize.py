@@ -41,7 +41,7 @@ def test_one_event(spark):
     # the first message measures from outside the event
     assert e.avg_hours == pytest.approx(300 / 3600) and e.event_distance_m == pytest.approx(2100)
     assert e.avg_implied_speed_knots == pytest.approx(4) and e.avg_meters_to_prev == pytest.approx(300)
-    assert len(e.geo_info) == 8 and e.points_wkt.startswith("10 0, 10 0.002698")
+    assert len(e.geo_info) == 8 and e.points_wkt.startswith("10 0, 10 0.0026979610968")
     assert e.geo_info[0].point.lat == 0.0 and e.geo_info[0].s2_cell != 0
     assert e.lat_mean == pytest.approx(8 / 8 * 1.05 / 111.19508, abs=1e-6) and e.lon_mean == pytest.approx(10)
 
