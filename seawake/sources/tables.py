@@ -50,9 +50,17 @@ def change_catalog(spark: SparkSession, statement: str) -> None:
     spark.sql(statement)
 
 
-def _location(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+def _literal(text: str) -> str:
+    """A text as a literal of a statement."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _location(spark: SparkSession, name: str, partition: str = "") -> str:
+    """Folder of a table or partition; columns may be called Location, so it is looked for behind the column list."""
+    rows = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name} {partition}").collect()]
+    heading = "# Detailed Partition Information" if partition else "# Detailed Table Information"
+    details = rows[[r[0] for r in rows].index(heading) + 1 :]
+    return next(value for key, value in details if key == "Location")
 
 
 def finish_replacement(spark: SparkSession, name: str) -> bool:
@@ -67,13 +75,13 @@ def finish_replacement(spark: SparkSession, name: str) -> bool:
     plan = json.loads(found[0]["value"])
     column, present = plan["column"], set(partitions(spark, name))
     for month in plan["written"]:
-        partition, place = f"PARTITION ({column} = '{month}')", f"{plan['folder']}/{column}={month}"
+        partition, place = f"PARTITION ({column} = {_literal(month)})", _literal(f"{plan['folder']}/{column}={month}")
         if month in present:
-            change_catalog(spark, f"ALTER TABLE {name} {partition} SET LOCATION '{place}'")
+            change_catalog(spark, f"ALTER TABLE {name} {partition} SET LOCATION {place}")
         else:
-            change_catalog(spark, f"ALTER TABLE {name} ADD {partition} LOCATION '{place}'")
+            change_catalog(spark, f"ALTER TABLE {name} ADD {partition} LOCATION {place}")
     for month in plan["emptied"]:
-        change_catalog(spark, f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = '{month}')")
+        change_catalog(spark, f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = {_literal(month)})")
     change_catalog(spark, f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{PENDING}')")
     spark.catalog.refreshTable(name)
     return True
@@ -88,7 +96,7 @@ def replace_months(df: DataFrame, name: str, month_column: str, months: list[str
     rows are dropped last.  Files that are being read are never written over.
     Until the announcement an interruption changes nothing; after it,
     :func:`finish_replacement` (which every replacement calls first) completes
-    the work.  Files of replaced months stay until a clean-up of the storage.
+    the work.  Files of replaced months stay until :func:`clean_replaced`.
     """
     spark = df.sparkSession
     finish_replacement(spark, name)
@@ -101,8 +109,46 @@ def replace_months(df: DataFrame, name: str, month_column: str, months: list[str
         written = []
     new = sorted(row[0] for row in written)
     plan = {"column": month_column, "folder": folder, "written": new, "emptied": sorted(set(months) - set(new))}
-    change_catalog(spark, f"ALTER TABLE {name} SET TBLPROPERTIES ('{PENDING}' = '{json.dumps(plan)}')")
+    change_catalog(spark, f"ALTER TABLE {name} SET TBLPROPERTIES ('{PENDING}' = {_literal(json.dumps(plan))})")
+    finish_replacement(spark, name)
+
+
+def clean_replaced(spark: SparkSession, name: str, month_column: str, min_age_hours: float = 7 * 24) -> list[str]:
+    """Delete the files of months that were replaced or dropped; the folders that went.
+
+    A replacement that was announced is completed first.  All folders of months
+    are then compared with those that the catalog's partitions name, and the
+    others go if nothing in them has changed for so many hours: long enough for
+    readers that began before the replacement, and for a load that has written
+    its files but not announced them.  An interrupted clean-up can be repeated.
+    """
     finish_replacement(spark, name)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(_location(spark, name))
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+
+    def inner(path) -> list:
+        return [f for f in system.listStatus(path) if f.isDirectory()]
+
+    used = {
+        hadoop.Path(_location(spark, name, f"PARTITION ({month_column} = {_literal(month)})")).toUri().getPath() for month in partitions(spark, name)
+    }
+    newest = spark._jvm.System.currentTimeMillis() - min_age_hours * 3_600_000
+    gone = []
+    for folder in inner(root):
+        loads = folder.getPath().getName().startswith("_replaced_")
+        months = inner(folder.getPath()) if loads else [folder]
+        for month in months:
+            path = month.getPath()
+            if path.getName().startswith(f"{month_column}=") and path.toUri().getPath() not in used:
+                changed = [month.getModificationTime(), *(f.getModificationTime() for f in system.listStatus(path))]
+                if max(changed) <= newest and system.delete(path, True):
+                    gone.append(path.toUri().getPath())
+        if loads and folder.getModificationTime() <= newest and not inner(folder.getPath()):
+            system.delete(folder.getPath(), True)
+    return gone
 
 
 def overwrite(df: DataFrame, name: str, partitions: str) -> None:

@@ -57,3 +57,45 @@ def test_conform(spark):
     with pytest.raises(ValueError, match="seg_id"):
         conform(spark.range(1).select(F.lit("x").alias("event_id")), EVENTS_SCHEMA)
     assert tables.read_table(spark, "logs").count() == 1
+
+
+def test_files_of_replaced_months_are_cleaned(spark):
+    from seawake.sources import tables
+
+    spark.sql("DROP TABLE IF EXISTS cleaned")
+    # a column that is called as the catalog calls the table's folder
+    spark.sql("CREATE TABLE cleaned (id INT, Location STRING, month STRING) USING parquet PARTITIONED BY (month)")
+    rows = spark.createDataFrame([(1, "it's", "2024-01"), (2, "b", "2024-02")], "id int, Location string, month string")
+    tables.replace_months(rows, "cleaned", "month", ["2024-01", "2024-02"])
+    tables.replace_months(rows.withColumn("id", F.col("id") + 10), "cleaned", "month", ["2024-01", "2024-02"])
+    tables.replace_months(rows.filter("month = '2024-02'").withColumn("id", F.lit(22)), "cleaned", "month", ["2024-02"])
+    want = [(11, "2024-01"), (22, "2024-02")]
+
+    def held():
+        return sorted((r["id"], r["month"]) for r in spark.table("cleaned").collect())
+
+    assert held() == want
+    assert tables.clean_replaced(spark, "cleaned", "month") == []  # too young
+    gone = tables.clean_replaced(spark, "cleaned", "month", min_age_hours=0)
+    assert sorted(x.rsplit("/", 1)[1] for x in gone) == ["month=2024-01", "month=2024-02", "month=2024-02"]
+    assert held() == want and tables.clean_replaced(spark, "cleaned", "month", min_age_hours=0) == []
+    # an announced replacement is completed before anything goes
+    steps = []
+
+    def interrupted(session, statement):
+        steps.append(statement)
+        if len(steps) > 1:
+            raise RuntimeError
+        session.sql(statement)
+
+    plain = tables.change_catalog
+    tables.change_catalog = interrupted
+    try:
+        tables.replace_months(rows.withColumn("id", F.lit(5)), "cleaned", "month", ["2024-01", "2024-02"])
+    except RuntimeError:
+        pass
+    finally:
+        tables.change_catalog = plain
+    tables.clean_replaced(spark, "cleaned", "month", min_age_hours=0)
+    assert held() == [(5, "2024-01"), (5, "2024-02")]
+    spark.sql("DROP TABLE cleaned")
