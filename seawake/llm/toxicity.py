@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 from dataclasses import dataclass
 from itertools import filterfalse
 
@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from seawake.llm.common import batch, in_pieces, stored, strings
 
 #: Bounds of the labelled sample, in documents and in bytes of their texts.
-EXAMPLES = 2000
+EXAMPLES = 1500
 EXAMPLE_BYTES = 64 << 20
 #: Neighbours that vote, and those that are named as evidence.
 NEIGHBOURS = 200
@@ -78,9 +78,8 @@ class Vectors:
         self.features, self.idf = features, idf
         self.known: dict[str, int] = {}
 
-    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Feature numbers in order, and how often each comes."""
-        words = Counter(_WORD.findall(text.lower()))
+    def numbers(self, words: Collection[str]) -> np.ndarray:
+        """Feature numbers of distinct words, -1 for those of no example."""
         new = list(filterfalse(self.known.__contains__, words))
         if new:
             if len(self.known) > KEPT_WORDS:
@@ -90,11 +89,14 @@ class Vectors:
             found = at < len(self.features)
             found[found] = self.features[at[found]] == keys[found]
             self.known.update(zip(new, np.where(found, at, -1).tolist(), strict=True))
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Feature numbers, and how often each comes."""
+        words = Counter(_WORD.findall(text.lower()))
+        at = self.numbers(words)
         times = np.fromiter(words.values(), np.int64, len(words))
-        order = np.argsort(at, kind="stable")
-        order = order[np.searchsorted(at[order], 0) :]
-        return at[order], times[order]
+        return at[at >= 0], times[at >= 0]
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Feature numbers and weights of unit length; both empty for a text without features."""
@@ -154,7 +156,7 @@ class BlockMaxIndex:
         bounds = np.bincount(in_block, self.largest[entries] * query, self.blocks)
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
-        total, least, done, step = np.zeros(len(self.example)), 0.0, 0, 8
+        total, least, done, step = np.zeros(len(self.example)), 0.0, 0, 12
         chosen = np.zeros(self.blocks, bool)
         while done < len(order) and bounds[order[done]] >= least - 1e-9:
             now = order[done : done + step]
@@ -310,7 +312,8 @@ def _document_counts(rows: DataFrame, features: np.ndarray) -> np.ndarray:
         vectors, sums = Vectors(shared.value, np.zeros(0)), np.zeros(len(shared.value), np.int64)
         for b in batches:
             for t in strings(b.column(0)):
-                sums[vectors.counts(t)[0]] += 1
+                at = vectors.numbers(set(_WORD.findall(t.lower())))
+                sums[at[at >= 0]] += 1
         yield from in_pieces(schema, [np.flatnonzero(sums), sums[sums > 0]])
 
     every = rows.select("text").mapInArrow(of, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
