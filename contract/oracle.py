@@ -438,6 +438,15 @@ check(
     """,
     NNET,
 )
+check(
+    "continuous_load",
+    f"""
+    select event_end_date, 'stream' as mode, count(*) as messages, count(*) filter (timestamp = event_start) as events,
+      cast(sum(epoch(event_end) - epoch(event_start)) as bigint) as seconds
+    from {NNET} group by 1
+    """,
+    NNET,
+)
 
 # --- identity and summaries --------------------------------------------------------------
 

@@ -36,9 +36,11 @@ from seawake.plans import encounters as enc
 from seawake.plans import fishing
 from seawake.plans import loitering as loit
 from seawake.plans import port_visits as ports
+from seawake.session import ensure_checkpoint_dir
 from seawake.sources import samples
 from seawake.sources.tables import delete_range, drop_version, publish_versioned
 from seawake.streaming import incremental as inc
+from seawake.streaming.continuous import load_stream
 
 FIELDS = ("nnet_score", "night_loitering")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -231,6 +233,21 @@ def three_mode_parity(i: Inputs) -> DataFrame:
     return once.unionByName(daily).unionByName(again)
 
 
+@query
+def continuous_load(i: Inputs) -> DataFrame:
+    """The state after a stream of three deliveries, the days of each overlapping those of the next."""
+    ensure_checkpoint_dir(i.spark)
+    name = f"stream_{uuid.uuid4().hex}"
+    folder = f"{i.spark.sparkContext.getCheckpointDir()}/{name}"
+    messages = ses.scan_messages(i.messages, START, END)
+    messages.repartitionByRange(3, "timestamp").write.parquet(f"{folder}/in")
+    source = i.spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    load_stream(source, f"{folder}/store", name, "nnet_score", f"{folder}/offsets").awaitTermination()
+    report = _report(i.spark.table(name), "stream").checkpoint()
+    drop_version(i.spark, name)
+    return report
+
+
 # --- identity and summaries ----------------------------------------------------
 
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from seawake.config import SCORE_FIELDS, SessionRules
@@ -113,6 +113,7 @@ def _mark(messages: DataFrame, rules: SessionRules) -> DataFrame:
         .withColumns(
             {
                 "prev_score": F.lag("score").over(rows),
+                "repeats": F.lag("timestamp").over(rows) == ts,
                 "leads": F.row_number().over(rows) == 1,
             }
         )
@@ -149,8 +150,12 @@ def _mark(messages: DataFrame, rules: SessionRules) -> DataFrame:
     )
 
 
-def _settle(marked: DataFrame, rules: SessionRules) -> DataFrame:
-    """One row per (segment, slice): what its messages need from other slices."""
+def _settle(marked: DataFrame, rules: SessionRules, repeats: Observation | None = None) -> DataFrame:
+    """One row per (segment, slice): what its messages need from other slices.
+
+    ``repeats`` learns of messages that share segment and time, which always
+    fall into one slice: how many slices have some, and the first such key.
+    """
     ts = F.col("timestamp")
     fishing_ts = F.when(F.col("fishing"), ts)
     position = F.struct("lon", "lat")
@@ -167,7 +172,11 @@ def _settle(marked: DataFrame, rules: SessionRules) -> DataFrame:
         F.max(F.when(F.col("opens"), ts)).alias("closing_open"),
         F.max(F.when(F.col("last_start").isNull(), fishing_ts)).alias("fished_before_first"),
         F.max(F.when(F.col("last_open").isNull(), fishing_ts)).alias("fished_before_open"),
+        F.min(F.when(F.col("repeats"), ts)).alias("repeated"),
     )
+    if repeats is not None:
+        key = F.when(F.col("repeated").isNotNull(), F.concat_ws(" ", "seg_id", F.col("repeated").cast("string")))
+        summary = summary.observe(repeats, F.count("repeated").alias("slices"), F.min(key).alias("key"))
 
     slices = slices_of("seg_id")
     earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
@@ -253,9 +262,9 @@ def _settle(marked: DataFrame, rules: SessionRules) -> DataFrame:
     )
 
 
-def _mark_and_settle(messages: DataFrame, rules: SessionRules) -> DataFrame:
+def _mark_and_settle(messages: DataFrame, rules: SessionRules, repeats: Observation | None = None) -> DataFrame:
     marked = _mark(messages, rules)
-    return marked.join(_settle(marked, rules), ["seg_id", SLICE])
+    return marked.join(_settle(marked, rules, repeats), ["seg_id", SLICE])
 
 
 def tag_runs(messages: DataFrame, rules: SessionRules = SessionRules()) -> DataFrame:
@@ -287,9 +296,11 @@ def event_boundaries(messages: DataFrame, rules: SessionRules = SessionRules())
     )
 
 
-def tag_events(messages: DataFrame, rules: SessionRules = SessionRules()) -> DataFrame:
+def tag_events(
+    messages: DataFrame, rules: SessionRules = SessionRules(), repeats: Observation | None = None
+) -> DataFrame:
     """Messages of score 1 with the start and end of their event."""
-    settled = _mark_and_settle(messages, rules).filter("fishing")
+    settled = _mark_and_settle(messages, rules, repeats).filter("fishing")
     first_open = F.when(F.col("timestamp") >= F.col("first_open"), F.col("first_open"))
     tagged = settled.withColumn(
         "event_start", F.coalesce("last_open", first_open, "head_open", "carried_open")
@@ -321,10 +332,19 @@ def sessionize(
     score_field: str,
     max_gap_hours: float = 2,
     rules: SessionRules | None = None,
+    repeats: Observation | None = None,
 ) -> DataFrame:
     """Messages of ``[start - 1 day, end)`` tagged with their fishing events.
 
-    ``(seg_id, timestamp)`` must be unique.
+    ``(seg_id, timestamp)`` must be unique; ``repeats`` observes where it is not,
+    in the shuffle that is made anyway (see :func:`refuse_repeats`).
     """
     rules = rules or SessionRules(max_gap_hours=max_gap_hours)
-    return tag_events(source_messages(messages, start, end, score_field), rules)
+    return tag_events(source_messages(messages, start, end, score_field), rules, repeats)
+
+
+def refuse_repeats(repeats: Observation) -> None:
+    """Refuse messages that share segment and time, once the observed frame was computed."""
+    found = repeats.get
+    if found.get("slices"):
+        raise ValueError(f"several messages share segment and time: {found['key']}, and so in {found['slices']} slices")

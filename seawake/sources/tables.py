@@ -50,6 +50,15 @@ def change_catalog(spark: SparkSession, statement: str) -> None:
     spark.sql(statement)
 
 
+def table_property(spark: SparkSession, name: str, key: str) -> str | None:
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == key).collect()
+    return found[0]["value"] if found else None
+
+
+def set_table_property(spark: SparkSession, name: str, key: str, value: str) -> None:
+    change_catalog(spark, f"ALTER TABLE {name} SET TBLPROPERTIES ({_literal(key)} = {_literal(value)})")
+
+
 def _literal(text: str) -> str:
     """A text as a literal of a statement."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -69,10 +78,10 @@ def finish_replacement(spark: SparkSession, name: str) -> bool:
     A replacement that was not announced in the table's properties has changed
     nothing, and its files are never read.
     """
-    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == PENDING).collect()
-    if not found:
+    found = table_property(spark, name, PENDING)
+    if found is None:
         return False
-    plan = json.loads(found[0]["value"])
+    plan = json.loads(found)
     column, present = plan["column"], set(partitions(spark, name))
     for month in plan["written"]:
         partition, place = f"PARTITION ({column} = {_literal(month)})", _literal(f"{plan['folder']}/{column}={month}")
@@ -109,7 +118,7 @@ def replace_months(df: DataFrame, name: str, month_column: str, months: list[str
         written = []
     new = sorted(row[0] for row in written)
     plan = {"column": month_column, "folder": folder, "written": new, "emptied": sorted(set(months) - set(new))}
-    change_catalog(spark, f"ALTER TABLE {name} SET TBLPROPERTIES ('{PENDING}' = {_literal(json.dumps(plan))})")
+    set_table_property(spark, name, PENDING, json.dumps(plan))
     finish_replacement(spark, name)
 
 

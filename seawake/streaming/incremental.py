@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seawake.config import SessionRules
-from seawake.operators.sessionize import as_instant, sessionize
+from seawake.operators.sessionize import as_instant, refuse_repeats, sessionize
 from seawake.operators.slices import with_group_max
 from seawake.session import ensure_checkpoint_dir
 from seawake.sources.schemas import STATE_SCHEMA, conform
@@ -181,11 +181,14 @@ def load_increment(
     before ``start - 1 day`` are only read where their month is rewritten.
     New months are written beside the table and then put in place in the
     catalog (see :func:`replace_months`); a load that was interrupted anywhere
-    is repaired by running it again.
+    is repaired by running it again.  Messages that share segment and time are
+    refused before anything is changed.
     """
     ensure_checkpoint_dir(spark)
     # read four times below; on shared storage, so that a lost executor costs nothing
-    delta = sessionize(messages, start, end, score_field, max_gap_hours).checkpoint()
+    repeats = Observation()
+    delta = sessionize(messages, start, end, score_field, max_gap_hours, repeats=repeats).checkpoint()
+    refuse_repeats(repeats)
 
     ensure_table(spark, state_table, STATE_SCHEMA, MONTH)
     finish_replacement(spark, state_table)
