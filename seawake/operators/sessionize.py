@@ -173,6 +173,7 @@ def _settle(marked: DataFrame, rules: SessionRules, repeats: Observation | None
         F.max(F.when(F.col("last_start").isNull(), fishing_ts)).alias("fished_before_first"),
         F.max(F.when(F.col("last_open").isNull(), fishing_ts)).alias("fished_before_open"),
         F.min(F.when(F.col("repeats"), ts)).alias("repeated"),
+        F.max(ts).alias("closing"),
     )
     if repeats is not None:
         key = F.when(F.col("repeated").isNotNull(), F.concat_ws(" ", "seg_id", F.col("repeated").cast("string")))
@@ -248,9 +249,12 @@ def _settle(marked: DataFrame, rules: SessionRules, repeats: Observation | None
         .withColumn("carried_until", F.max("continued_until").over(same_event))
         .withColumn("own_until", F.lead("carried_until").over(slices))
     )
+    # the slices of a segment are partitioned by it already
+    known = known.withColumn("segment_end", F.max("closing").over(Window.partitionBy("seg_id")))
     return known.select(
         "seg_id",
         SLICE,
+        "segment_end",
         "carried_open",
         "carried_until",
         "own_open",
@@ -269,9 +273,12 @@ def _mark_and_settle(messages: DataFrame, rules: SessionRules, repeats: Observat
 
 def tag_runs(messages: DataFrame, rules: SessionRules = SessionRules()) -> DataFrame:
     """All messages (of whatever score) with the first timestamp of their run."""
-    settled = _mark_and_settle(messages, rules)
+    return _runs(messages, rules).select(*messages.columns, "run_start")
+
+
+def _runs(messages: DataFrame, rules: SessionRules) -> DataFrame:
     run_start = F.coalesce("last_break", "head_break", "carried_break")
-    return settled.select(*messages.columns, run_start.alias("run_start"))
+    return _mark_and_settle(messages, rules).withColumn("run_start", run_start)
 
 
 def event_boundaries(messages: DataFrame, rules: SessionRules = SessionRules()) -> DataFrame:
@@ -281,11 +288,12 @@ def event_boundaries(messages: DataFrame, rules: SessionRules = SessionRules())
     """
     ts = F.col("timestamp")
     # a segment is one track even where its ssvid changes: the first message gives a run's ssvid
-    runs = tag_runs(messages, rules).groupBy("seg_id", "run_start").agg(
-        F.min_by(F.struct("ssvid", "score", "lat", "lon"), ts).alias("head"), F.max(ts).alias("last_message")
+    runs = _runs(messages, rules).groupBy("seg_id", "run_start").agg(
+        F.min_by(F.struct("ssvid", "score", "lat", "lon"), ts).alias("head"),
+        F.max(ts).alias("last_message"),
+        F.first("segment_end").alias("segment_end"),
     )
-    ends = messages.groupBy("seg_id").agg(F.max(ts).alias("segment_end"))
-    return runs.join(ends, "seg_id").select(
+    return runs.select(
         "head.ssvid",
         "seg_id",
         F.col("run_start").alias("event_start"),

@@ -171,6 +171,13 @@ def test_no_message_level_shuffle_by_segment_alone(spark):
     assert len([e for e in exchanges if "time_slice" not in e]) == 1 and 2 <= len(by_slice) <= 4
 
 
+def test_run_boundaries_read_messages_as_often_as_events_do(spark):
+    rows = messages(spark, track([(0, 0, 1.0), (60, 0, 1.0)]))
+    source = ses.source_messages(rows, START, END, "nnet_score")
+    scans = [df._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") for df in (ses.event_boundaries(source), ses.tag_events(source))]
+    assert scans == [2, 2]
+
+
 def test_sliced_lag_and_maximum_equal_window_functions(spark):
     df = messages(spark, random_tracks(7)).select("seg_id", "timestamp", "lat")
     whole = Window.partitionBy("seg_id").orderBy("timestamp")
