@@ -182,13 +182,15 @@ def load_increment(
     New months are written beside the table and then put in place in the
     catalog (see :func:`replace_months`); a load that was interrupted anywhere
     is repaired by running it again.  Messages that share segment and time are
-    refused before anything is changed.
+    refused before anything is changed; where no message is tagged, no new
+    rows come and nothing is refused.
     """
     ensure_checkpoint_dir(spark)
     # read four times below; on shared storage, so that a lost executor costs nothing
     repeats = Observation()
     delta = sessionize(messages, start, end, score_field, max_gap_hours, repeats=repeats).checkpoint()
-    refuse_repeats(repeats)
+    if not delta.isEmpty():  # where nothing is tagged, Spark may leave out what is observed
+        refuse_repeats(repeats)
 
     ensure_table(spark, state_table, STATE_SCHEMA, MONTH)
     finish_replacement(spark, state_table)
