@@ -48,11 +48,10 @@ def distinct_seg_ids(visits: DataFrame) -> DataFrame:
     )
 
 
-def first_ranked(visits: DataFrame) -> DataFrame:
-    """The nested event that gives a visit its anchorage: best rank, then earliest.
+def ranked_in_row(visits: DataFrame, *kept: str) -> DataFrame:
+    """``best``: the nested event of best rank, then the earliest, of each row; the events stay behind.
 
-    Unknown event types have no rank and come first.  The choice is made
-    inside each row, then between the rows of a visit.
+    Unknown event types have no rank and come first.
     """
     candidates = F.transform(
         F.when(F.size("events") > 0, F.col("events")).otherwise(F.array(F.lit(None))),
@@ -62,12 +61,17 @@ def first_ranked(visits: DataFrame) -> DataFrame:
             e["anchorage_id"].alias("event_anchorage_id"),
         ),
     )
-    return (
-        visits.select("visit_id", F.array_min(candidates).alias("best"))
-        .groupBy("visit_id")
-        .agg(F.min("best").alias("best"))
-        .select("visit_id", "best.*")
-    )
+    return visits.select("visit_id", *kept, F.array_min(candidates).alias("best"))
+
+
+def first_of_visit(ranked: DataFrame) -> DataFrame:
+    """The best event between the rows of a visit."""
+    return ranked.groupBy("visit_id").agg(F.min("best").alias("best")).select("visit_id", "best.*")
+
+
+def first_ranked(visits: DataFrame) -> DataFrame:
+    """The nested event that gives a visit its anchorage, chosen inside each row, then between the rows of a visit."""
+    return first_of_visit(ranked_in_row(visits))
 
 
 def described_anchorages(anchorages: DataFrame) -> DataFrame:
@@ -111,18 +115,20 @@ def port_visit_events(
 ) -> DataFrame:
     source = confident_visits(visits, end)
     described = materialized(described_anchorages(anchorages))
-    known = semi(source, vessels.select("vessel_id"))
+    # the choice inside each row comes first: nested events do not travel
+    known = semi(ranked_in_row(source, "vessel_id"), vessels.select("vessel_id"))
     chosen = with_anchorage(
-        first_ranked(known).withColumnRenamed("event_anchorage_id", "intermediate_anchorage_id"),
+        first_of_visit(known).withColumnRenamed("event_anchorage_id", "intermediate_anchorage_id"),
         described,
         "intermediate",
         "inner",
     ).select("visit_id", "intermediate_anchorage")
 
+    # visits meet what is known by visit first, before attributes make them wide
     full = source.drop("events", "ssvid").withColumn("year", F.year("start_timestamp").cast("long"))
+    full = full.join(distinct_seg_ids(source), "visit_id").join(chosen, "visit_id", "left")
     full = with_identity(full, vessel_attributes(vessels, prefix), "inner")
     full = with_anchorage(with_anchorage(full, described, "start", "inner"), described, "end", "inner")
-    full = full.join(distinct_seg_ids(source), "visit_id").join(chosen, "visit_id", "left")
     full = with_distances(full, measures, F.col("start_lon"), F.col("start_lat"), "start")
     full = with_distances(full, measures, F.col("end_lon"), F.col("end_lat"), "end")
 

@@ -243,16 +243,19 @@ def hours_in(hours: Column) -> Column:
     return F.timestamp_seconds(F.lit(FIRST_SECOND) + hours * 3600)
 
 
-def _visits(spark: SparkSession, folder: str) -> DataFrame:
-    """Port visits without their nested events."""
-    o = F.col("o_orderkey")
-    # two one-row tables: how many users and suppliers there are
+def _sized_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of the orders, with how many users and suppliers there are (two one-row tables)."""
     n_users = users(spark, folder).agg(F.count(F.lit(1)).alias("nu"))
     n_suppliers = table(spark, folder, "supplier").agg(F.count(F.lit(1)).alias("ns"))
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    sized = orders.withColumn("one", F.lit(1))
+    sized = table(spark, folder, "orders").select("o_orderkey", "o_custkey").withColumn("one", F.lit(1))
     for count in (n_users, n_suppliers):
         sized = sized.join(F.broadcast(count.withColumn("one", F.lit(1))), "one")
+    return sized.drop("one")
+
+
+def _visits(sized: DataFrame, *more: str) -> DataFrame:
+    """Port visits without their nested events; further columns pass through."""
+    o = F.col("o_orderkey")
     return sized.select(
         "o_orderkey",
         tagged("pv", o).alias("visit_id"),
@@ -264,19 +267,24 @@ def _visits(spark: SparkSession, folder: str) -> DataFrame:
         (o % 4 + 1).alias("confidence"),
         tagged("a", o % F.col("ns")).alias("start_anchorage_id"),
         tagged("a", (o * 3 + 1) % F.col("ns")).alias("end_anchorage_id"),
+        *more,
     )
 
 
 def port_visits(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw port visits: orders, with the order's lines as nested events."""
-    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    """Raw port visits: orders, with the order's lines as nested events.
+
+    Orders and lines meet on the plain key, by which the lines are grouped
+    already; names and times are made behind the join.
+    """
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey")
     # an order has a handful of lines
     lines = (
         table(spark, folder, "lineitem")
         .groupBy("l_orderkey")
         .agg(F.sort_array(F.collect_list(line)).alias("lines"))
     )
-    order = F.col("l_orderkey")
+    order = F.col("o_orderkey")
 
     def as_event(entry: Column, index: Column) -> Column:
         seq = index + 1 + order % 5
@@ -294,9 +302,9 @@ def port_visits(spark: SparkSession, folder: str) -> DataFrame:
             tagged("s", entry["l_partkey"] % 15).alias("seg_id"),
         )
 
-    nested = lines.select(tagged("pv", order).alias("visit_id"), F.transform("lines", as_event).alias("events"))
     places = anchorages(spark, folder)
-    visits = _visits(spark, folder).drop("o_orderkey").join(nested, "visit_id", "left")
+    sized = _sized_orders(spark, folder).join(lines, order == F.col("l_orderkey"), "left")
+    visits = _visits(sized, "lines").withColumn("events", F.transform("lines", as_event)).drop("o_orderkey", "lines")
     for side in ("start", "end"):
         spot = places.select(
             F.col("s2id").alias(f"{side}_anchorage_id"),
@@ -304,14 +312,14 @@ def port_visits(spark: SparkSession, folder: str) -> DataFrame:
             F.col("lon").alias(f"{side}_lon"),
         )
         visits = visits.join(spot, f"{side}_anchorage_id")
-    empty = F.array().cast(nested.schema["events"].dataType)
+    empty = F.array().cast(visits.schema["events"].dataType)
     return visits.withColumn("events", F.coalesce("events", empty))
 
 
 def voyages(spark: SparkSession, folder: str) -> DataFrame:
     """Trips that end with some of the visits and start with the one before among them."""
     per_vessel = Window.partitionBy("vessel_id").orderBy("start_timestamp", "visit_id")
-    return _visits(spark, folder).filter(F.col("o_orderkey") % 29 == 3).select(
+    return _visits(_sized_orders(spark, folder)).filter(F.col("o_orderkey") % 29 == 3).select(
         F.col("visit_id").alias("trip_id"),
         "vessel_id",
         F.lag("end_timestamp").over(per_vessel).alias("trip_start"),
