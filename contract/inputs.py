@@ -1,7 +1,7 @@
 """Inputs of the registered queries, derived from one folder of test tables.
 
 The operators read stored tables in production.  Here the larger derived inputs
-are checkpointed once per session, so that each query starts from stored rows.
+are stored once per session, so that each query starts from stored rows.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from seawake.operators.sessionize import sessionize
 from seawake.operators.summarize import event_positions, summarize_events, summarize_scalars
 from seawake.plans.port_visits import port_visit_events
-from seawake.session import configure, ensure_checkpoint_dir
+from seawake.session import configure, materialized
 from seawake.sources import samples
 
 START, END = "2024-01-01", "2024-01-04"
@@ -33,8 +33,7 @@ class Inputs:
     def _keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _stored:
-            ensure_checkpoint_dir(self.spark)
-            _stored[key] = build().checkpoint()
+            _stored[key] = materialized(build())
         return _stored[key]
 
     def sample(self, name: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from seawake.config import SessionRules
 from seawake.operators.sessionize import as_instant, refuse_repeats, sessionize
 from seawake.operators.slices import with_group_max
-from seawake.session import ensure_checkpoint_dir
+from seawake.session import materialized
 from seawake.sources.schemas import STATE_SCHEMA, conform
 from seawake.sources.tables import ensure_table, finish_replacement, month_of, partitions, replace_months
 
@@ -185,10 +185,9 @@ def load_increment(
     refused before anything is changed; where no message is tagged, no new
     rows come and nothing is refused.
     """
-    ensure_checkpoint_dir(spark)
     # read four times below; on shared storage, so that a lost executor costs nothing
     repeats = Observation()
-    delta = sessionize(messages, start, end, score_field, max_gap_hours, repeats=repeats).checkpoint()
+    delta = materialized(sessionize(messages, start, end, score_field, max_gap_hours, repeats=repeats))
     if not delta.isEmpty():  # where nothing is tagged, Spark may leave out what is observed
         refuse_repeats(repeats)
 
@@ -211,8 +210,8 @@ def load_increment(
     state = stored.filter(in_range).select(*STATE_COLUMNS)
 
     # each is read several times below, and the affected months only once
-    before = truncate_state(state, start).checkpoint()
-    staged = merge_open_events(before, delta, start, max_gap_hours).checkpoint()
+    before = materialized(truncate_state(state, start))
+    staged = materialized(merge_open_events(before, delta, start, max_gap_hours))
     assert_unique(staged, UPSERT_KEYS)
     result = conform(upsert(before, staged, UPSERT_KEYS, reach_of(start)), STATE_SCHEMA)
     result = result.withColumn(MONTH, month_of(F.col("event_end_date")))
