@@ -1,15 +1,19 @@
 """Near copies by Jaccard similarity of word shingles: every link is verified.
 
-1. Texts become sets of hashed five-word shingles.  Shingles have one order,
-   the rare ones first; two sets of a similarity of at least t share one of
-   the first n - ceil(t n) + 1 shingles of each (n its size), so an index of
-   these prefixes meets every pair there is.  How common shingles are is
-   counted in a sample; any order gives the same links, only with more work.
-2. Members of a list are paired if their sizes, and what is left of their sets
-   behind the shared shingle, can give the similarity.  The bits of wide
-   SimHash fingerprints then drop pairs far off: the bound is ``MARGIN``
-   deviations above the bits expected at the similarity.
-3. What is left is verified in Spark joins with the whole sets.
+1. SimHash fingerprints of five-word shingles go through the byte-position
+   inverted index of :mod:`seawake.llm.simhash`: shared positional bytes are
+   tallied, bits compared, and fingerprints within four bits are candidates.
+2. Texts that are as similar but whose fingerprints are further apart are met
+   by their sets of hashed shingles.  Shingles have one order, the rare ones
+   first; two sets of a similarity of at least t share one of the first
+   n - ceil(t n) + 1 shingles of each (n its size), so an index of these
+   prefixes misses no pair.  How common shingles are is counted in a sample;
+   any order gives the same links, only with more work.  Members of a list are
+   paired if their sizes, and what is left of their sets behind the shared
+   shingle, can give the similarity.
+3. The bits of wide SimHash fingerprints drop pairs far off: the bound is
+   ``MARGIN`` deviations above the bits expected at the similarity.
+4. What is left is verified in Spark joins with the whole sets.
 
 Lists over ``DENSE`` members are not paired in their task.  Each list elects
 leaders in rounds, members are verified against them, and a list whose members
@@ -35,6 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seawake.llm import simhash
 from seawake.llm.common import GOLDEN, batch, in_pieces, mixed, runs, shuffle_partitions, stored
 from seawake.llm.components import components
 from seawake.llm.repeats import filter_bits, marked, repeated_keys
@@ -213,6 +218,15 @@ def _pairs(similarity: float, dense: int):
     return found
 
 
+def _by_fingerprint(docs: DataFrame, words: int) -> DataFrame:
+    """Pairs (a, b) of documents whose fingerprints the byte-position index links, or are equal."""
+    prints = stored(simhash.fingerprints(docs, "id", "text", words), "near-prints")
+    reps = stored(prints.groupBy("fp").agg(F.min("id").alias("rep")), "near-reps")
+    equal = prints.join(reps, "fp").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    pairs = simhash.links(reps).union(equal).filter("a <> b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
     """The pairs (a, b) whose whole shingle sets have the similarity, stored."""
     pairs = stored(pairs.distinct(), "near-candidates")
@@ -281,7 +295,8 @@ def links(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY,
     lists = _index(docs, words, similarity).repartition(shuffle_partitions(docs.sparkSession), "key").sortWithinPartitions("key")
     found = lists.mapInArrow(_pairs(similarity, dense), "a long, b long, key long, n int, at int")
     found = stored(found, "near-pairs")
-    edges = _verified(found.filter("a is not null").select("a", "b"), docs, words, similarity)
+    candidates = _by_fingerprint(docs, words).union(found.filter("a is not null").select("a", "b"))
+    edges = _verified(candidates, docs, words, similarity)
     crowd = stored(found.filter("a is null").select("key", F.col("b").alias("id"), "n", "at").distinct(), "near-crowd")
     for turn in range(TURNS + 1):
         if crowd.isEmpty():
