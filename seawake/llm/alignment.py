@@ -47,7 +47,7 @@ _CHUNK = regex.compile(rf"[ \n](?:[^ \n]++|(?<=[{_WHITE}{BLANK}])[ \n])*+")
 #: A space or line feed where chunks do not end; texts without one are cut by plain splitting.
 _INNER = regex.compile(rf"[{_WHITE}{BLANK}][ \n]")
 #: Chunks that a worker keeps with their alignment.
-KEPT_CHUNKS = 250_000
+KEPT_CHUNKS = 350_000
 #: Bound of the broadcast pairs: 17 bytes each.
 HOT_PAIRS = 1 << 20
 #: Links that a task holds before their counts leave it.
@@ -161,6 +161,21 @@ class Aligner:
         self.sizes = np.zeros((0, 3), np.int64)
         self.links = np.zeros(0, np.int64)
         self.place = np.zeros(1, np.int64)
+        #: Documents that had each chunk since the table was last shrunk.
+        self.met = np.zeros(0, np.int64)
+
+    def shrink(self) -> None:
+        """Forget the chunks that only one document had, and more of the rare ones beyond half the bound."""
+        kept = np.flatnonzero(self.met > 1)
+        if len(kept) > self.kept // 2:
+            kept = np.sort(kept[np.argsort(-self.met[kept], kind="stable")[: self.kept // 2]])
+        starts, sizes = self.place[kept], self.place[kept + 1] - self.place[kept]
+        self.links = self.links[_places(starts, sizes)]
+        self.whole, self.sizes, self.place = self.whole[kept], self.sizes[kept], np.r_[0, np.cumsum(sizes)]
+        keys = list(self.number)  # in the order of their numbers
+        self.number = {keys[i]: n for n, i in enumerate(kept.tolist())}
+        self.text = list(map(self.text.__getitem__, kept.tolist()))
+        self.met = np.ones(len(kept), np.int64)
 
     def learn(self, keys: list[Key]) -> None:
         """Align chunks and keep what documents are put together from."""
@@ -188,6 +203,7 @@ class Aligner:
         self.number.update(zip(keys, range(len(self.text), len(self.text) + len(new)), strict=True))
         self.text += ["".join(names[x:y]) for x, y in zip(cuts, cuts[1:])]
         self.whole = np.r_[self.whole, whole]
+        self.met = np.r_[self.met, np.zeros(len(new), np.int64)]
         self.sizes = np.r_[self.sizes, np.c_[tokens[0], tokens[1], counts]]
         self.place = np.r_[self.place, self.place[-1] + np.cumsum(counts)]
         self.links = np.r_[self.links, ids_a[at_a] << 32 | ids_b[at_b]]
@@ -198,7 +214,7 @@ class Aligner:
         for at in range(0, len(texts), 256):
             cut = [chunks(t) if t else [] for t in texts[at : at + 256]]
             if len(self.number) > self.kept:
-                self.clear()
+                self.shrink()
             new: set[Key] = set()
             for own in cut:
                 new.update(filterfalse(self.number.__contains__, own))
@@ -206,16 +222,21 @@ class Aligner:
                 self.learn(fresh[low : low + 50_000])
             for own in cut:
                 n = np.fromiter(map(self.number.__getitem__, own), np.int64, len(own))
+                self.met[n] += 1
                 if not own or not self.whole[n].all():
                     yield nothing
                     continue
                 starts, sizes = self.place[n], self.place[n + 1] - self.place[n]
-                places = np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
-                pairs, times = np.unique(self.links[places], return_counts=True)
+                pairs, times = np.unique(self.links[_places(starts, sizes)], return_counts=True)
                 groups = "".join(map(self.text.__getitem__, n.tolist()))[:-1]
                 yield self.sizes[n].sum(axis=0), hashlib.sha256(groups.encode()).hexdigest(), pairs, times
 
 
+def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Numbers of all places in ranges."""
+    return np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
+
+
 def _same_bytes(raw: list[bytes], ids: np.ndarray, counts: np.ndarray, bytes_of: list[bytes]) -> np.ndarray:
     """Whether each chunk's tokens give back its bytes."""
     found = list(map(bytes_of.__getitem__, ids.tolist()))
