@@ -77,18 +77,21 @@ class Vectors:
         """``features``: sorted hashes of the examples' words."""
         self.features, self.idf = features, idf
         self.known: dict[str, int] = {}
+        self.strange = 0
 
     def numbers(self, words: Collection[str]) -> np.ndarray:
         """Feature numbers of distinct words, -1 for those of no example."""
         new = list(filterfalse(self.known.__contains__, words))
         if new:
-            if len(self.known) > KEPT_WORDS:
-                self.known, new = {}, list(words)
+            if self.strange > KEPT_WORDS:  # words of no example go; there are no more others than features
+                self.known, self.strange = {w: n for w, n in self.known.items() if n >= 0}, 0
+                new = list(filterfalse(self.known.__contains__, words))
             keys = _hashed(new)
             at = np.searchsorted(self.features, keys)
             found = at < len(self.features)
             found[found] = self.features[at[found]] == keys[found]
             self.known.update(zip(new, np.where(found, at, -1).tolist(), strict=True))
+            self.strange += len(new) - int(found.sum())
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -110,7 +113,10 @@ class Vectors:
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Numbers of all places in ranges."""
-    return np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
+    ends = sizes.cumsum()
+    out = np.repeat(starts - ends + sizes, sizes)
+    out += np.arange(len(out))
+    return out
 
 
 class BlockMaxIndex:
@@ -126,7 +132,8 @@ class BlockMaxIndex:
         weights = np.concatenate([np.zeros(0, np.float32), *(vectors[i][1] for i in order)])
         place = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
         by = np.argsort(columns, kind="stable")  # by feature, then block, as places ascend
-        columns, self.weight, self.place = columns[by], weights[by], place[by]
+        # numbers as they are counted with, so that no lookup converts them
+        columns, self.weight, self.place = columns[by], weights[by].astype(np.float64), place[by].astype(np.intp)
         own_block = self.place // block
         self.starts = np.flatnonzero(np.r_[len(by) > 0, (columns[1:] != columns[:-1]) | (own_block[1:] != own_block[:-1])][: len(by)])
         self.ends = np.r_[self.starts[1:], len(by)][: len(self.starts)]
@@ -166,7 +173,9 @@ class BlockMaxIndex:
             starts = self.starts[entries[hit]]
             lengths = self.ends[entries[hit]] - starts
             places = _spread(starts, lengths)
-            total += np.bincount(self.place[places], self.weight[places] * np.repeat(query[hit], lengths), len(total))
+            parts = np.repeat(query[hit], lengths)
+            parts *= self.weight.take(places)
+            total += np.bincount(self.place.take(places), parts, len(total))
             if (total > 0).sum() >= k:
                 least = float(np.partition(total, -k)[-k])
             done, step = done + step, step * 2
