@@ -49,6 +49,8 @@ SLOT_LOAD = 8
 #: Windows or slots that a task holds before it sums them; words a worker keeps.
 FLUSH = 1 << 20
 KEPT_WORDS = 400_000
+#: Text of a task that counts windows, where there are tasks for all cores: each task sends a frequent phrase once.
+TASK_BYTES = 256 << 20
 #: Texts that are split at once, by their bytes.
 SPLIT_BYTES = 4 << 20
 WORDS = [f"w{n}" for n in range(1, LONGEST + 1)]
@@ -135,6 +137,12 @@ class Reader:
             self.hashes = np.r_[self.hashes, _hashes(new)]
         return ids, piece, text
 
+    def keep(self, used: np.ndarray) -> None:
+        """Forget all words but those of some ascending numbers, which become 0, 1, ..."""
+        words = list(self.numbers)
+        self.numbers = Numbers((words[u], i) for i, u in enumerate(used.tolist()))
+        self.hashes = self.hashes[used]
+
     @property
     def full(self) -> bool:
         return len(self.numbers) > KEPT_WORDS
@@ -243,8 +251,12 @@ def _flags(plane: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (plane[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def counted_windows(rows: DataFrame, slots: int, least: int) -> DataFrame:
-    """``lang``, ``w1`` to ``w5`` (null beyond the window's end), ``n``: the longest windows, each counted."""
+def counted_windows(rows: DataFrame, slots: int, least: int, size: int = 0) -> DataFrame:
+    """``lang``, ``w1`` to ``w5`` (null beyond the window's end), ``n``: the longest windows, each counted.
+
+    Texts of ``size`` bytes go to two tasks for each core, or to more of ``TASK_BYTES``.
+    """
+    tasks = max(2 * rows.sparkSession.sparkContext.defaultParallelism, size // TASK_BYTES)
     marked = frequent_slots(rows, slots, least)
     longer = frequent_slots(rows, slots, least, marked)
     schema = pa.schema([("lang", pa.string()), *((w, pa.string()) for w in WORDS), ("n", pa.int64())])
@@ -306,14 +318,22 @@ def counted_windows(rows: DataFrame, slots: int, least: int) -> DataFrame:
                 held = {x: [summed(*map(np.concatenate, zip(*parts, strict=True)), len(read.numbers))] for x, parts in held.items()}
                 size = sum(len(parts[0][0]) for parts in held.values())
                 most = max(FLUSH, 2 * size)
-            if size >= 4 * FLUSH or read.full:
+            if full := read.full:  # words of no window go
+                used = np.r_[True, np.zeros(len(read.numbers), bool)]
+                for windows, _ in (x for parts in held.values() for x in parts):
+                    used[windows] = True
+                number = np.cumsum(used) - 1
+                held = {x: [(number[windows], counts) for windows, counts in parts] for x, parts in held.items()}
+                read.keep(np.flatnonzero(used[1:]))
+                full = 2 * len(read.numbers) > KEPT_WORDS
+            if size >= 4 * FLUSH or full:
                 yield from flush(read, held, others)
                 held, others, size, most = {}, {}, 0, FLUSH
                 read.clear()
         yield from flush(read, held, others)
 
     names = ", ".join(f"{w} string" for w in WORDS)
-    return rows.mapInArrow(of, f"lang string, {names}, n long").groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
+    return rows.coalesce(tasks).mapInArrow(of, f"lang string, {names}, n long").groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
@@ -322,7 +342,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT, text_col: str = "te
     # about six bytes a word; a word counts itself and a pair
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slots = min(MAX_SLOTS, max(SEGMENT, 1 << (int(size / 3 / SLOT_LOAD)).bit_length()))
-    windows = counted_windows(rows, slots, least)
+    windows = counted_windows(rows, slots, least, size)
     # how many of the columns a row of the roll-up has
     columns = len(WORDS) + 1 - F.length(F.replace(F.bin(F.grouping_id()), F.lit("0"), F.lit("")))
     sums = windows.rollup("lang", *WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("set"), columns.alias("columns"))
