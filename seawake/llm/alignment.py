@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from seawake.llm.bpe import byte_letters, model_text
 from seawake.llm.common import in_pieces, stored, strings
-from seawake.llm.encoding import short_texts
+from seawake.llm.encoding import Library
 
 #: Sign for a space in pieces of side B.
 BLANK = "▁"
@@ -78,7 +78,7 @@ class ByteSide:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for each task
         from tokenizers import Tokenizer
 
-        self.model, self.tokenizer = model, Tokenizer.from_str(model)
+        self.library, self.tokenizer = Library(model, "kept"), Tokenizer.from_str(model)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = True
@@ -94,7 +94,7 @@ class ByteSide:
         if any(s in p for s in self.specials for p in parts):
             found = [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
         else:  # many parts in one call
-            found = short_texts(self.model, parts)
+            found = self.library.short_texts(parts)
         return np.frombuffer(b"".join(found), "<u4").astype(np.int64), np.fromiter(map(len, found), np.int64, len(found)) // 4
 
 

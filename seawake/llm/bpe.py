@@ -26,19 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seawake.llm.common import batch, strings
-from seawake.llm.encoding import ChunkEncoder
+from seawake.llm.encoding import ChunkEncoder, byte_letters
 
 #: Fixed value: the public word pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def byte_letters() -> list[str]:
-    """The printable character that stands for each byte in a byte-level vocabulary."""
-    own = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
-    others = iter(range(256, 512))
-    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
-
-
 class NumpyBpe:
     """A byte-level BPE vocabulary in the JSON form of the tokenizers library."""
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from seawake.llm.bpe import model_text
 from seawake.llm.common import batch, stored, strings
-from seawake.llm.encoding import library_encoder
+from seawake.llm.encoding import SharedEncoder
 
 CAPACITY = 2048
 GROUPS = 1200
@@ -179,14 +179,14 @@ def pieces(
 
     ``part`` and ``place`` number the pieces of a length within a task's output.
     """
-    model = docs.sparkSession.sparkContext.broadcast(model_text(tokenizer))
+    model = docs.sparkSession.sparkContext.broadcast(SharedEncoder(model_text(tokenizer), "dropped"))
     end = np.array([end_id], "<u4").tobytes()
     columns = "id long, piece int, start long, length int, ids_crc32 long, part int, place int, ids binary"
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
     schema = pa.schema([(c.split()[0], k) for c, k in zip(columns.split(", "), kinds, strict=True)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(model.value, "dropped")
+        encoder = model.value.encoder
         part = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for b in batches:

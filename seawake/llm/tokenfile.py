@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from seawake.llm.bpe import model_text
 from seawake.llm.common import batch, shuffle_partitions, stored, strings
-from seawake.llm.encoding import library_encoder
+from seawake.llm.encoding import SharedEncoder
 
 MAGIC = b"SWKTOK1\n"
 BLOCK = 1 << 16
@@ -183,12 +183,12 @@ def write_token_files(
     Returns the stored manifest: ``part`` (order of the files), path, documents, tokens.
     """
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(model_text(tokenizer))
+    model = spark.sparkContext.broadcast(SharedEncoder(model_text(tokenizer), "kept"))
     schema = pa.schema([("part", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64())])
     end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(model.value, "kept")
+        encoder = model.value.encoder
         store, root = pafs.FileSystem.from_uri(folder)
         context = TaskContext.get()
         part = context.partitionId()
