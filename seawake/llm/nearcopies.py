@@ -17,10 +17,15 @@
 
 Lists over ``DENSE`` members are not paired in their task.  Each list elects
 leaders in rounds, members are verified against them, and a list whose members
-have all met in one component is done.  In the others, blocks of members meet
-over all tasks, and only members of different components are paired; members
-of the largest component do not meet each other.  Where a large list does not
-fall into one component, that work grows with the square of the rest.
+have all met in one component is done.  The first leader has the fewest
+shingles rarer than the list's: in a group of near copies that is the text the
+others were made from, and it is closer to each of them than they are to each
+other.  In the lists that are left, blocks of members meet over all tasks, and
+only members of different components are compared; members of the largest
+component do not meet each other.  A meeting holds the whole sets and sends
+the links that join its members up, so no rows are made for pairs.  Where a
+large list does not fall into one component, the comparisons within the
+meetings still grow with the square of the rest.
 
 Defined cases: case and white space do not count; texts of fewer than five
 words are one shingle; texts without words are copies of each other; rows of
@@ -53,8 +58,10 @@ MARGIN = 8
 #: Lists up to this length are paired in one task; members of a block in the meetings of longer ones.
 DENSE = 128
 BLOCK = 128
+#: Shingles of a set from which on it counts as several members of a block.
+LONG = 1000
 #: Rounds of leaders before the members that are left meet.
-TURNS = 3
+TURNS = 2
 #: Documents whose shingles are counted for the order, and the shingles whose counts are kept.
 SAMPLE = 20_000
 COMMON = 200_000
@@ -227,10 +234,8 @@ def _by_fingerprint(docs: DataFrame, words: int) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose whole shingle sets have the similarity, stored."""
-    pairs = stored(pairs.distinct(), "near-candidates")
-    ids = stored(pairs.select(F.col("a").alias("own")).union(pairs.select("b")).distinct(), "near-ids")
+def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """``id``, ``shingles`` and fingerprint lanes of the documents with these ids and, by chance, few others; stored."""
     bits = filter_bits(ids.count(), 16)
     plane = repeated_keys(ids.union(ids), bits, 3)
     ddl = "id long, shingles array<long>, " + ", ".join(f"{f} long" for f in _FP)
@@ -245,7 +250,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: float)
                 lanes = np.array([_fingerprint(s) for s in sets], np.uint64).reshape(-1, LANES).view(np.int64)
                 yield batch(schema, part.column(0), [s.view(np.int64) for s in sets], *lanes.T)
 
-    sets = stored(docs.mapInArrow(of, ddl), "near-sets")
+    return stored(docs.mapInArrow(of, ddl), "near-sets")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose whole shingle sets have the similarity, stored."""
+    pairs = stored(pairs.distinct(), "near-candidates")
+    sets = _sets(docs, stored(pairs.select(F.col("a").alias("own")).union(pairs.select("b")).distinct(), "near-ids"), words)
     sides = [sets.select(F.col("id").alias(e), *(F.col(f).alias(f"{e}_{f}") for f in _FP)) for e in "ab"]
     differ = sum((F.bit_count(F.col(f"a_{f}").bitwiseXOR(F.col(f"b_{f}"))) for f in _FP), F.lit(0))
     close = pairs.join(sides[0], "a").join(sides[1], "b").filter(differ <= most_bits(similarity, MARGIN)).select("a", "b").distinct()
@@ -256,13 +267,44 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: float)
     return stored(close.join(sides[1], "b").join(sides[0], "a").filter(alike).select("a", "b"), "near-links")
 
 
-def _meetings(members: DataFrame, block: int, similarity: float) -> DataFrame:
-    """Possible pairs of members of different components of a list (key, id, n, at, root).
+def _spanning(n: np.ndarray, at: np.ndarray, root: np.ndarray, inner: np.ndarray, sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
+    """Places of members that are as similar and whose components were apart until then.
+
+    Members marked ``inner`` come last and do not meet each other; if there are
+    any, the others meet only them.  At most one link for each member is found.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    ends = np.cumsum(sizes)
+    names, place = np.unique(np.concatenate(sets), return_inverse=True)
+    root, mixed_up = root.copy(), bool(inner.any())
+    for i in range(int((~inner).sum())):
+        good = _possible(n[i], at[i], n[i + 1 :], at[i + 1 :], similarity) & (root[i + 1 :] != root[i])
+        if mixed_up:
+            good &= inner[i + 1 :]
+        if not good.any():
+            continue
+        own = np.zeros(len(names), bool)
+        own[place[ends[i] - sizes[i] : ends[i]]] = True
+        shared = np.r_[0, np.cumsum(own[place])]
+        both = (shared[ends] - shared[ends - sizes])[i + 1 :]
+        good &= both >= similarity * (sizes[i] + sizes[i + 1 :] - both) - 1e-9
+        for to in (np.flatnonzero(good) + i + 1).tolist():
+            if root[to] != root[i]:
+                yield i, to
+                root[root == root[to]] = root[i]
+
+
+def _meetings(members: DataFrame, docs: DataFrame, block: int, words: int, similarity: float) -> DataFrame:
+    """Verified links between members of different components of a list (key, id, n, at, root), stored.
 
     Members of the list's largest component form blocks of their own, which meet
-    those of the others; these meet each other as well.
+    those of the others; these meet each other as well.  A meeting compares the
+    whole sets of two blocks in its task and sends the links that join its
+    members up, fewer than it has members; long sets make blocks smaller.
     """
-    sizes = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    sizes = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+    weight = F.greatest(F.col("size"), F.ceil(F.col("shingles") / LONG))
+    sizes = sizes.select("key", "root", weight.alias("size"))
     largest = sizes.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.sum("size").alias("all"), F.max("size").alias("most"))
     rows = members.join(largest, "key").withColumn("inner", F.col("root") == F.col("main"))
     blocks = lambda size: F.ceil(size / F.lit(block)).cast("int")
@@ -273,21 +315,19 @@ def _meetings(members: DataFrame, block: int, similarity: float) -> DataFrame:
     cross = F.transform(F.sequence(F.lit(0), many - 1), lambda j: F.struct(j.alias("x"), F.col("own").alias("y"), F.lit(True).alias("mixed")))
     inner = F.transform(F.sequence(F.lit(0), few - 1), lambda j: F.struct(F.col("own").alias("x"), j.alias("y"), F.lit(True).alias("mixed")))
     dealt = rows.withColumn("place", F.explode(F.when(F.col("inner"), inner).otherwise(F.concat(outer, cross))))
-    dealt = dealt.select(F.xxhash64("key", "place.x", "place.y", "place.mixed").alias("meeting"), "id", "n", "at", "root")
-    dealt = dealt.repartition(shuffle_partitions(members.sparkSession), "meeting").sortWithinPartitions("meeting", "n")
+    dealt = dealt.select(F.xxhash64("key", "place.x", "place.y", "place.mixed").alias("meeting"), "id", "n", "at", "root", "inner")
+    sets = _sets(docs, stored(members.select(F.col("id").alias("own")).distinct(), "near-ids"), words).select("id", "shingles")
+    dealt = dealt.join(sets, "id").repartition(shuffle_partitions(members.sparkSession), "meeting")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _ in runs(batches, "meeting"):
-            starts = np.flatnonzero(np.r_[True, part["meeting"][1:] != part["meeting"][:-1]])
-            for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(part["meeting"])], strict=True):
-                ids, n, at, root = (part[c][low:high] for c in ("id", "n", "at", "root"))
-                for i in range(high - low - 1):
-                    good = _possible(n[i], at[i], n[i + 1 :], at[i + 1 :], similarity) & (root[i + 1 :] != root[i])
-                    if len(to := ids[i + 1 :][good]):
-                        yield batch(schema, np.minimum(ids[i], to), np.maximum(ids[i], to))
+    def found(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("inner").combine_chunks()
+        ids, n, at, root, inner = (rows[c].to_numpy(zero_copy_only=False) for c in ("id", "n", "at", "root", "inner"))
+        sets = [x.values.to_numpy(zero_copy_only=False) for x in rows["shingles"]]
+        at = np.array(list(_spanning(n, at, root, inner, sets, similarity)), np.int64).reshape(-1, 2)
+        return pa.table([pa.array(np.sort(ids[at], axis=1)[:, i], pa.int64()) for i in (0, 1)], schema=schema)
 
-    return dealt.mapInArrow(found, "a long, b long")
+    return stored(dealt.groupBy("meeting").applyInArrow(found, "a long, b long"), "near-links")
 
 
 def links(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY, dense: int = DENSE, block: int = BLOCK) -> DataFrame:
@@ -301,18 +341,20 @@ def links(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY,
     for turn in range(TURNS + 1):
         if crowd.isEmpty():
             break
-        roots = components(edges).select(F.col("node").alias("id"), "root")
-        members = crowd.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        roots = stored(components(edges), "near-known")
+        edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a <> b")
+        members = crowd.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
         members = stored(members, "near-members")
         several = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         members = stored(members.join(several.filter("low < high").select("key"), "key"), "near-members")
         crowd = members.drop("root")
         if turn == TURNS:
-            pairs = _meetings(members, block, similarity)
-        else:
-            leaders = members.groupBy("key").agg(F.min_by(F.struct("id", "n", "at", "root"), F.xxhash64("id", F.lit(turn))).alias("l"))
-            pairs = members.join(leaders, "key").filter((F.col("id") != F.col("l.id")) & (F.col("root") != F.col("l.root")))
-            pairs = pairs.select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b"))
+            edges = edges.union(_meetings(members, docs, block, words, similarity))
+            break
+        first = F.struct(F.when(F.lit(turn == 0), F.col("at")), F.xxhash64("id", F.lit(turn)))
+        leaders = members.groupBy("key").agg(F.min_by(F.struct("id", "n", "at", "root"), first).alias("l"))
+        pairs = members.join(leaders, "key").filter((F.col("id") != F.col("l.id")) & (F.col("root") != F.col("l.root")))
+        pairs = pairs.select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b"))
         edges = edges.union(_verified(pairs, docs, words, similarity))
     return edges
 

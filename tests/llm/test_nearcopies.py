@@ -106,3 +106,54 @@ def test_links_are_those_of_the_exact_similarity(spark, bounds, monkeypatch):
     df = spark.createDataFrame(rows, DOCS).repartition(3)
     got = {r["id"]: r["component_id"] for r in near_copy_groups(df, **bounds).collect()}
     assert got == {i: groups.root(i) for i in sets}
+
+
+def edited(words, rng, edits):
+    out = list(words)
+    for _ in range(edits):
+        out[rng.randrange(len(out))] = f"e{rng.randrange(10**9)}"
+    return " ".join(out)
+
+
+def test_copies_of_one_text_make_no_rows_for_their_pairs(spark, monkeypatch):
+    rng, rows = random.Random(3), []
+    base = [f"b{i}" for i in range(150)]
+    texts = [*(edited(base, rng, 2 if i % 4 else 4) for i in range(300)), " ".join(base)]
+    rows = list(enumerate(texts))
+    made, verified = [], nearcopies._verified
+
+    def counted(pairs, *rest):
+        made.append(pairs.distinct().count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(nearcopies, "_verified", counted)
+    sets, groups = {i: plain_shingles(t) for i, t in rows}, Groups()
+    for i in sets:
+        for j in range(i):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                groups.link(i, j)
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    got = {r["id"]: r["component_id"] for r in near_copy_groups(df, dense=4, block=16).collect()}
+    assert got == {i: groups.root(i) for i in sets}
+    assert sum(made) < 10 * len(rows)
+
+
+def test_meetings_send_no_more_links_than_members(spark):
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(i, edited(base, rng, 1)) for i in range(60)] + [(60, None), (61, "")]
+    members = [(key, i, 5 * (i < 60), 0, i) for key in (1, 2) for i in range(62)]
+    members = spark.createDataFrame(members, "key long, id long, n int, at int, root long").withColumn("n", nearcopies.F.when(nearcopies.F.col("n") > 0, 146).otherwise(0))
+    found = nearcopies._meetings(members, spark.createDataFrame(rows, DOCS), 100, 5, 0.8)
+    found = [(r["a"], r["b"]) for r in found.collect()]
+    sets, groups, joined = {i: plain_shingles(t or "") for i, t in rows}, Groups(), Groups()
+    for i in range(60):
+        for j in range(i):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                groups.link(i, j)
+    groups.link(60, 61)
+    for a, b in found:
+        assert a < b
+        joined.link(a, b)
+    assert {i: joined.root(i) for i in range(62)} == {i: groups.root(i) for i in range(62)}
+    assert len(found) < 2 * 62
