@@ -204,10 +204,10 @@ class Library:
         return np.array(ids, "<u4"), np.array(bounds)
 
 
-def library_encoder(model: str, spaces: str) -> ChunkEncoder:
+def library_encoder(model: str, spaces: str, kept: int = KEPT_CHUNKS) -> ChunkEncoder:
     """An encoder for a tokenizers model, given as the text of its file."""
     library = Library(model, spaces)
-    return ChunkEncoder(library.short_texts, spaces, library.added, encode_words=library.words)
+    return ChunkEncoder(library.short_texts, spaces, library.added, kept, library.words)
 
 
 class SharedEncoder:
@@ -217,12 +217,12 @@ class SharedEncoder:
     broadcast: over the tasks of a job, and not into the stages after it.
     """
 
-    def __init__(self, model: str, spaces: str):
-        self.model, self.spaces = model, spaces
+    def __init__(self, model: str, spaces: str, kept: int = KEPT_CHUNKS):
+        self.model, self.spaces, self.kept = model, spaces, kept
 
     def __reduce__(self):
-        return SharedEncoder, (self.model, self.spaces)
+        return SharedEncoder, (self.model, self.spaces, self.kept)
 
     @cached_property
     def encoder(self) -> ChunkEncoder:
-        return library_encoder(self.model, self.spaces)
+        return library_encoder(self.model, self.spaces, self.kept)

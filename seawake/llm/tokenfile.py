@@ -44,6 +44,8 @@ MAGIC = b"SWKTOK1\n"
 BLOCK = 1 << 16
 LEVEL = 3
 NULL_ID = -(1 << 63)
+#: Chunks in half of a worker's table: a task here holds little else, and words that leave the table are encoded again.
+KEPT_CHUNKS = 700_000
 
 
 def to_planes(ids: np.ndarray, bits: bool) -> list[bytes]:
@@ -183,7 +185,7 @@ def write_token_files(
     Returns the stored manifest: ``part`` (order of the files), path, documents, tokens.
     """
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(SharedEncoder(model_text(tokenizer), "kept"))
+    model = spark.sparkContext.broadcast(SharedEncoder(model_text(tokenizer), "kept", KEPT_CHUNKS))
     schema = pa.schema([("part", pa.int32()), ("path", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64())])
     end = np.array([end_id], "<u4").tobytes()
 

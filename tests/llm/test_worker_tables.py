@@ -31,3 +31,11 @@ def test_words_by_the_model_are_those_of_whole_texts():
     assert library.spelling is not None and Library(WORDS, "dropped").spelling is None
     want = [np.array(e.ids, "<u4").tobytes() for e in library.tokenizer.encode_batch([" " + w for w in words], add_special_tokens=False)]
     assert library.words(words) == want
+
+
+def test_the_size_of_the_table_travels_and_changes_no_ids():
+    text = " ".join(f"{w}{e}" for w in ("alpha", "beta", "gamma", "delta") for e in ("", ",", "ly", "ness!"))
+    small = pickle.loads(pickle.dumps(SharedEncoder(BYTES, "kept", 3)))
+    assert small.encoder.kept == 3
+    for _ in range(3):
+        assert small.encoder([text] * 2) == SharedEncoder(BYTES, "kept").encoder([text] * 2)
