@@ -9,7 +9,7 @@ keys it lets more of them through, which costs work and never a result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,6 +25,9 @@ MAX_BITS = 1 << 29
 FLUSH = 1 << 21
 _PARTS = pa.schema([("segment", pa.int32()), ("once", pa.binary()), ("more", pa.binary())])
 
+#: Batches of rows to batches whose first column are keys.
+KeysOf = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 
 def filter_bits(keys: int, bits_per_key: int, most: int = MAX_BITS) -> int:
     """Size of a filter for so many keys: a power of two within the bound."""
@@ -44,13 +47,18 @@ def marked(keys: np.ndarray, plane: np.ndarray, bits: int, hashes: int) -> np.nd
     return ((plane[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0)
 
 
-def repeated_keys(keys: DataFrame, bits: int, hashes: int) -> Broadcast[np.ndarray]:
-    """Broadcast filter over the single long column of ``keys``; test keys with :func:`marked`."""
+def repeated_keys(rows: DataFrame, bits: int, hashes: int, keys_of: KeysOf = iter) -> Broadcast[np.ndarray]:
+    """Broadcast filter over the keys of rows; test keys with :func:`marked`.
+
+    The keys are the single long column, or what ``keys_of`` makes of the rows
+    in the same worker: a second Python step in a task would start a second
+    worker in each of its slots, and executors keep those through all that follows.
+    """
 
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
-        for b in batches:
+        for b in keys_of(batches):
             held.append(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
             size += len(held[-1])
             if size >= FLUSH:
@@ -62,12 +70,12 @@ def repeated_keys(keys: DataFrame, bits: int, hashes: int) -> Broadcast[np.ndarr
     def flush(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         at, counts = np.unique(slots(np.concatenate(held), bits, hashes).ravel(), return_counts=True)
         cuts = np.flatnonzero(np.diff(at // SEGMENT)) + 1
-        rows = []
+        found = []
         for part, n in zip(np.split(at, cuts), np.split(counts, cuts), strict=True):
             offsets = (part % SEGMENT).astype("<u2")
-            rows.append((int(part[0] // SEGMENT), offsets[n == 1].tobytes(), offsets[n > 1].tobytes()))
-        for i in range(0, len(rows), 1000):
-            yield batch(_PARTS, *zip(*rows[i : i + 1000], strict=True))
+            found.append((int(part[0] // SEGMENT), offsets[n == 1].tobytes(), offsets[n > 1].tobytes()))
+        for i in range(0, len(found), 1000):
+            yield batch(_PARTS, *zip(*found[i : i + 1000], strict=True))
 
     def total(parts: pd.DataFrame) -> pd.DataFrame:
         seen = np.zeros(SEGMENT, np.uint8)
@@ -81,9 +89,9 @@ def repeated_keys(keys: DataFrame, bits: int, hashes: int) -> Broadcast[np.ndarr
         packed = np.packbits(kept, bitorder="little").tobytes()
         return pd.DataFrame({"segment": parts["segment"].iloc[:1], "plane": [packed]})
 
-    parts = keys.mapInArrow(positions, "segment int, once binary, more binary")
+    parts = rows.mapInArrow(positions, "segment int, once binary, more binary")
     planes = parts.groupBy("segment").applyInPandas(total, "segment int, plane binary")
     whole = np.zeros(bits // 8, np.uint8)
     for row in planes.toLocalIterator():
         whole[row["segment"] * SEGMENT // 8 :][: SEGMENT // 8] = np.frombuffer(row["plane"], np.uint8)
-    return keys.sparkSession.sparkContext.broadcast(whole)
+    return rows.sparkSession.sparkContext.broadcast(whole)

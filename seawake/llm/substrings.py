@@ -263,7 +263,7 @@ def repeated_ranges(
             for *_, hashes, lengths in _chunks(strings(b.column(0))):
                 yield batch(pa.schema([("key", pa.int64())]), anchors(hashes, lengths, window, gram)[0].view(np.int64))
 
-    plane = repeated_keys(rows.select("text").mapInArrow(keys, "key long"), bits, HASHES)
+    plane = repeated_keys(rows.select("text"), bits, HASHES, keys)
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -356,7 +356,7 @@ def _crowded_ranges(around: DataFrame, window: int) -> DataFrame:
             yield batch(pa.schema([("key", pa.int64())]), np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64))
 
     bits = filter_bits(texts.count() * window, BITS_PER_ANCHOR)
-    plane = repeated_keys(texts.mapInArrow(keys, "key long"), bits, HASHES)
+    plane = repeated_keys(texts, bits, HASHES, keys)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of = WordHashes()
