@@ -13,19 +13,25 @@
    shingle, can give the similarity.
 3. The bits of wide SimHash fingerprints drop pairs far off: the bound is
    ``MARGIN`` deviations above the bits expected at the similarity.
-4. What is left is verified in Spark joins with the whole sets.
+4. What is left is verified in Spark joins with the whole sets, which are made
+   for documents of such pairs only and deleted when nothing reads them any
+   more.
 
 Lists over ``DENSE`` members are not paired in their task.  Each list elects
 leaders in rounds, members are verified against them, and a list whose members
 have all met in one component is done.  The first leader has the fewest
 shingles rarer than the list's: in a group of near copies that is the text the
 others were made from, and it is closer to each of them than they are to each
-other.  In the lists that are left, blocks of members meet over all tasks, and
-only members of different components are compared; members of the largest
-component do not meet each other.  A meeting holds the whole sets and sends
-the links that join its members up, so no rows are made for pairs.  Where a
-large list does not fall into one component, the comparisons within the
-meetings still grow with the square of the rest.
+other.  Lists that are left and have much the same members become one, as the
+many lists of one group of near copies do.  Then blocks of members meet over
+all tasks, and only members of different components are compared; members of
+the largest component do not meet each other.  They meet with their
+fingerprints first, and those that are near another once more with their whole
+sets: a common line makes long lists of texts that are not alike, whose sets
+stay where they are.  A meeting sends the links that join its members up, so
+no rows are made for pairs.  Where a large list does not fall into one
+component, the comparisons within the meetings still grow with the square of
+the rest.
 
 Defined cases: case and white space do not count; texts of fewer than five
 words are one shingle; texts without words are copies of each other; rows of
@@ -34,18 +40,19 @@ one id are one document with several texts; null ids take no part.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 from math import acos, ceil, pi
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from seawake.llm import simhash
-from seawake.llm.common import GOLDEN, batch, in_pieces, mixed, runs, shuffle_partitions, stored
+from seawake.llm.common import GOLDEN, batch, dropped, in_pieces, mixed, runs, shuffle_partitions, stored
 from seawake.llm.components import components
 from seawake.llm.repeats import filter_bits, marked, repeated_keys
 
@@ -58,6 +65,11 @@ MARGIN = 8
 #: Lists up to this length are paired in one task; members of a block in the meetings of longer ones.
 DENSE = 128
 BLOCK = 128
+#: Blocks of a list from which on they get larger instead of more, and how many times as large they may get.
+SPREAD = 16
+LARGER = 8
+#: Members of a block where they meet without their sets, times the others.
+WIDER = 16
 #: Shingles of a set from which on it counts as several members of a block.
 LONG = 1000
 #: Rounds of leaders before the members that are left meet.
@@ -234,37 +246,55 @@ def _by_fingerprint(docs: DataFrame, words: int) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """``id``, ``shingles`` and fingerprint lanes of the documents with these ids and, by chance, few others; stored."""
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The documents of the pairs, stored."""
+    return stored(pairs.select(F.col("a").alias("own")).union(pairs.select("b")).distinct(), "near-ids")
+
+
+def _of_some(docs: DataFrame, ids: DataFrame, words: int, made: Callable[[list[np.ndarray]], list], fields: list[pa.Field], name: str) -> DataFrame:
+    """``id`` and what is made of the shingle sets of the documents with these ids and, by chance, few others; stored."""
     bits = filter_bits(ids.count(), 16)
     plane = repeated_keys(ids.union(ids), bits, 3)
-    ddl = "id long, shingles array<long>, " + ", ".join(f"{f} long" for f in _FP)
-    schema = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64())), *((f, pa.int64()) for f in _FP)])
+    schema = pa.schema([pa.field("id", pa.int64()), *fields])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept = marked(b.column(0).to_numpy(zero_copy_only=False), plane.value, bits, 3)
             for low in range(0, len(rows := np.flatnonzero(kept)), 100):
                 part = b.take(pa.array(rows[low : low + 100]))
-                sets = [shingle_set(x.as_py(), words) for x in part.column(1)]
-                lanes = np.array([_fingerprint(s) for s in sets], np.uint64).reshape(-1, LANES).view(np.int64)
-                yield batch(schema, part.column(0), [s.view(np.int64) for s in sets], *lanes.T)
+                yield batch(schema, part.column(0), *made([shingle_set(x.as_py(), words) for x in part.column(1)]))
+
+    return stored(docs.mapInArrow(of, from_arrow_schema(schema)), name)
+
+
+def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """``id`` and ``shingles``."""
+    fields = [pa.field("shingles", pa.list_(pa.int64()))]
+    return _of_some(docs, ids, words, lambda sets: [[s.view(np.int64) for s in sets]], fields, "near-sets")
+
+
+def _lanes(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """``id`` and the lanes of the wide fingerprint."""
+
+    def made(sets: list[np.ndarray]) -> list:
+        return [*np.array([_fingerprint(s) for s in sets], np.uint64).reshape(-1, LANES).view(np.int64).T]
 
-    return stored(docs.mapInArrow(of, ddl), "near-sets")
+    return _of_some(docs, ids, words, made, [pa.field(f, pa.int64()) for f in _FP], "near-lanes")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose whole shingle sets have the similarity, stored."""
-    pairs = stored(pairs.distinct(), "near-candidates")
-    sets = _sets(docs, stored(pairs.select(F.col("a").alias("own")).union(pairs.select("b")).distinct(), "near-ids"), words)
-    sides = [sets.select(F.col("id").alias(e), *(F.col(f).alias(f"{e}_{f}") for f in _FP)) for e in "ab"]
+def _verified(pairs: DataFrame, docs: DataFrame, lanes: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose whole shingle sets have the similarity, stored; ``lanes`` has all their documents."""
+    sides = [lanes.select(F.col("id").alias(e), *(F.col(f).alias(f"{e}_{f}") for f in _FP)) for e in "ab"]
     differ = sum((F.bit_count(F.col(f"a_{f}").bitwiseXOR(F.col(f"b_{f}"))) for f in _FP), F.lit(0))
     close = pairs.join(sides[0], "a").join(sides[1], "b").filter(differ <= most_bits(similarity, MARGIN)).select("a", "b").distinct()
     close = stored(close, "near-close")
+    sets = _sets(docs, _ends(close), words)
     sides = [sets.select(F.col("id").alias(e), F.col("shingles").alias(f"{e}_set")) for e in "ab"]
     both = F.size(F.array_intersect("a_set", "b_set"))
     alike = both >= similarity * (F.size("a_set") + F.size("b_set") - both) - 1e-9
-    return stored(close.join(sides[1], "b").join(sides[0], "a").filter(alike).select("a", "b"), "near-links")
+    links = stored(close.join(sides[1], "b").join(sides[0], "a").filter(alike).select("a", "b"), "near-links")
+    dropped(sets)
+    return links
 
 
 def _spanning(n: np.ndarray, at: np.ndarray, root: np.ndarray, inner: np.ndarray, sets: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
@@ -294,20 +324,32 @@ def _spanning(n: np.ndarray, at: np.ndarray, root: np.ndarray, inner: np.ndarray
                 root[root == root[to]] = root[i]
 
 
-def _meetings(members: DataFrame, docs: DataFrame, block: int, words: int, similarity: float) -> DataFrame:
-    """Verified links between members of different components of a list (key, id, n, at, root), stored.
+def _gathered(members: DataFrame) -> DataFrame:
+    """The members (key, id, n, at, root) with lists of much the same members made one.
+
+    A document is at home in the longest of its lists.  A list half of whose
+    members are at home in one list joins that one, so members of a list still
+    meet, and documents that share many lists meet once.  ``at`` is the least
+    place of a document, so pairs that were possible in one of the lists stay so.
+    """
+    sized = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "key")
+    homes = sized.groupBy("id").agg(F.max_by("key", F.struct("size", "key")).alias("home"))
+    by_home = members.join(homes, "id").groupBy("key", "home").agg(F.count(F.lit(1)).alias("here"))
+    most = by_home.groupBy("key").agg(F.max_by("home", F.struct("here", "home")).alias("home"), F.max("here").alias("here"), F.sum("here").alias("size"))
+    named = most.select("key", F.when(F.col("here") * 2 >= F.col("size"), F.col("home")).otherwise(F.col("key")).alias("name"))
+    return members.join(named, "key").groupBy(F.col("name").alias("key"), "id", "n", "root").agg(F.min("at").alias("at"))
 
-    Members of the list's largest component form blocks of their own, which meet
-    those of the others; these meet each other as well.  A meeting compares the
-    whole sets of two blocks in its task and sends the links that join its
-    members up, fewer than it has members; long sets make blocks smaller.
+
+def _dealt(members: DataFrame, weight: Column, blocks: Callable[[Column], Column]) -> DataFrame:
+    """Rows (meeting, key, id, n, at, root, inner): all blocks of members that are to meet.
+
+    Members of a list's largest component (inner) form blocks of their own, which
+    meet those of the others; these meet each other as well.
     """
     sizes = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
-    weight = F.greatest(F.col("size"), F.ceil(F.col("shingles") / LONG))
     sizes = sizes.select("key", "root", weight.alias("size"))
     largest = sizes.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.sum("size").alias("all"), F.max("size").alias("most"))
     rows = members.join(largest, "key").withColumn("inner", F.col("root") == F.col("main"))
-    blocks = lambda size: F.ceil(size / F.lit(block)).cast("int")
     many, few = blocks(F.col("most")), F.greatest(F.lit(1), blocks(F.col("all") - F.col("most")))
     own = F.pmod(F.xxhash64("id"), F.when(F.col("inner"), many).otherwise(few)).cast("int")
     rows = rows.withColumn("own", own)
@@ -315,9 +357,55 @@ def _meetings(members: DataFrame, docs: DataFrame, block: int, words: int, simil
     cross = F.transform(F.sequence(F.lit(0), many - 1), lambda j: F.struct(j.alias("x"), F.col("own").alias("y"), F.lit(True).alias("mixed")))
     inner = F.transform(F.sequence(F.lit(0), few - 1), lambda j: F.struct(F.col("own").alias("x"), j.alias("y"), F.lit(True).alias("mixed")))
     dealt = rows.withColumn("place", F.explode(F.when(F.col("inner"), inner).otherwise(F.concat(outer, cross))))
-    dealt = dealt.select(F.xxhash64("key", "place.x", "place.y", "place.mixed").alias("meeting"), "id", "n", "at", "root", "inner")
-    sets = _sets(docs, stored(members.select(F.col("id").alias("own")).distinct(), "near-ids"), words).select("id", "shingles")
-    dealt = dealt.join(sets, "id").repartition(shuffle_partitions(members.sparkSession), "meeting")
+    return dealt.select(F.xxhash64("key", "place.x", "place.y", "place.mixed").alias("meeting"), "key", "id", "n", "at", "root", "inner")
+
+
+def _in_blocks(size: Column, block: int) -> Column:
+    return F.ceil(size / F.lit(block)).cast("int")
+
+
+def _near_another(members: DataFrame, lanes: DataFrame, block: int, similarity: float) -> DataFrame:
+    """Members that are possible partners of others of their list, and near them by the bits; stored."""
+    dealt = _dealt(members, F.col("size"), lambda size: _in_blocks(size, block * WIDER))
+    dealt = dealt.join(lanes, "id").repartition(shuffle_partitions(members.sparkSession), "meeting")
+    schema = pa.schema([("key", pa.int64()), ("id", pa.int64())])
+    most = most_bits(similarity, MARGIN)
+
+    def found(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("inner").combine_chunks()
+        n, at, root, inner = (rows[c].to_numpy(zero_copy_only=False) for c in ("n", "at", "root", "inner"))
+        bits = np.stack([rows[f].to_numpy(zero_copy_only=False) for f in _FP], axis=1)
+        first = int((~inner).sum())
+        near = np.zeros(len(n), bool)
+        for i in range(first):
+            low = max(i + 1, first) if first < len(n) else i + 1
+            good = low + np.flatnonzero(_possible(n[i], at[i], n[low:], at[low:], similarity) & (root[low:] != root[i]))
+            good = good[_near(bits[good], bits[i], most)]
+            near[good] = True
+            near[i] |= len(good) > 0
+        return rows.select(["key", "id"]).filter(pa.array(near)).cast(schema)
+
+    found_ids = dealt.groupBy("meeting").applyInArrow(found, "key long, id long").distinct()
+    return stored(members.join(found_ids, ["key", "id"], "left_semi"), "near-members")
+
+
+def _meetings(members: DataFrame, docs: DataFrame, block: int, words: int, similarity: float, lanes: DataFrame | None = None) -> DataFrame:
+    """Verified links between members of different components of a list (key, id, n, at, root), stored.
+
+    Members that are near none by their fingerprints (``lanes``) leave first.
+    A meeting of the others compares the whole sets of two blocks in its task
+    and sends the links that join its members up, fewer than it has members;
+    long sets make blocks smaller.  A member goes to as many meetings as there
+    are blocks: these get larger, up to ``LARGER`` times, before there are more
+    than ``SPREAD``.
+    """
+    ids = lambda: stored(members.select(F.col("id").alias("own")).distinct(), "near-ids")
+    members = stored(_gathered(members), "near-members")
+    members = _near_another(members, _lanes(docs, ids(), words) if lanes is None else lanes, block, similarity)
+    sets = _sets(docs, ids(), words)
+    weight = F.greatest(F.col("size"), F.ceil(F.col("shingles") / LONG))
+    dealt = _dealt(members, weight, lambda size: F.greatest(F.least(_in_blocks(size, block), F.lit(SPREAD)), _in_blocks(size, block * LARGER)))
+    dealt = dealt.drop("key").join(sets, "id").repartition(shuffle_partitions(members.sparkSession), "meeting")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def found(rows: pa.Table) -> pa.Table:
@@ -327,7 +415,9 @@ def _meetings(members: DataFrame, docs: DataFrame, block: int, words: int, simil
         at = np.array(list(_spanning(n, at, root, inner, sets, similarity)), np.int64).reshape(-1, 2)
         return pa.table([pa.array(np.sort(ids[at], axis=1)[:, i], pa.int64()) for i in (0, 1)], schema=schema)
 
-    return stored(dealt.groupBy("meeting").applyInArrow(found, "a long, b long"), "near-links")
+    links = stored(dealt.groupBy("meeting").applyInArrow(found, "a long, b long"), "near-links")
+    dropped(sets)
+    return links
 
 
 def links(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY, dense: int = DENSE, block: int = BLOCK) -> DataFrame:
@@ -336,8 +426,10 @@ def links(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY,
     found = lists.mapInArrow(_pairs(similarity, dense), "a long, b long, key long, n int, at int")
     found = stored(found, "near-pairs")
     candidates = _by_fingerprint(docs, words).union(found.filter("a is not null").select("a", "b"))
-    edges = _verified(candidates, docs, words, similarity)
+    candidates = stored(candidates.distinct(), "near-candidates")
     crowd = stored(found.filter("a is null").select("key", F.col("b").alias("id"), "n", "at").distinct(), "near-crowd")
+    lanes = _lanes(docs, _ends(candidates.union(crowd.select("id", "id"))), words)
+    edges = _verified(candidates, docs, lanes, words, similarity)
     for turn in range(TURNS + 1):
         if crowd.isEmpty():
             break
@@ -349,13 +441,14 @@ def links(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY,
         members = stored(members.join(several.filter("low < high").select("key"), "key"), "near-members")
         crowd = members.drop("root")
         if turn == TURNS:
-            edges = edges.union(_meetings(members, docs, block, words, similarity))
+            edges = edges.union(_meetings(members, docs, block, words, similarity, lanes))
             break
         first = F.struct(F.when(F.lit(turn == 0), F.col("at")), F.xxhash64("id", F.lit(turn)))
         leaders = members.groupBy("key").agg(F.min_by(F.struct("id", "n", "at", "root"), first).alias("l"))
         pairs = members.join(leaders, "key").filter((F.col("id") != F.col("l.id")) & (F.col("root") != F.col("l.root")))
         pairs = pairs.select(F.least("id", "l.id").alias("a"), F.greatest("id", "l.id").alias("b"))
-        edges = edges.union(_verified(pairs, docs, words, similarity))
+        edges = edges.union(_verified(pairs.distinct(), docs, lanes, words, similarity))
+    dropped(lanes)
     return edges
 
 
