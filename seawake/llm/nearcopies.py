@@ -65,11 +65,10 @@ MARGIN = 8
 #: Lists up to this length are paired in one task; members of a block in the meetings of longer ones.
 DENSE = 128
 BLOCK = 128
-#: Blocks of a list from which on they get larger instead of more, and how many times as large they may get.
-SPREAD = 16
-LARGER = 8
-#: Members of a block where they meet without their sets, times the others.
-WIDER = 16
+#: Blocks of a list from which on they get larger instead of more, and how many times as large they may get:
+#: where members meet with their sets, and with their fingerprints only.
+SPREAD, LARGER = 16, 8
+FEW, WIDER = 4, 16
 #: Shingles of a set from which on it counts as several members of a block.
 LONG = 1000
 #: Rounds of leaders before the members that are left meet.
@@ -360,13 +359,15 @@ def _dealt(members: DataFrame, weight: Column, blocks: Callable[[Column], Column
     return dealt.select(F.xxhash64("key", "place.x", "place.y", "place.mixed").alias("meeting"), "key", "id", "n", "at", "root", "inner")
 
 
-def _in_blocks(size: Column, block: int) -> Column:
-    return F.ceil(size / F.lit(block)).cast("int")
+def _in_blocks(size: Column, block: int, spread: int, larger: int) -> Column:
+    """Number of blocks; they get larger, up to so many times, before there are more than ``spread``."""
+    full, wide = (F.ceil(size / F.lit(n)).cast("int") for n in (block, block * larger))
+    return F.greatest(F.least(full, F.lit(spread)), wide)
 
 
 def _near_another(members: DataFrame, lanes: DataFrame, block: int, similarity: float) -> DataFrame:
     """Members that are possible partners of others of their list, and near them by the bits; stored."""
-    dealt = _dealt(members, F.col("size"), lambda size: _in_blocks(size, block * WIDER))
+    dealt = _dealt(members, F.col("size"), lambda size: _in_blocks(size, block, FEW, WIDER))
     dealt = dealt.join(lanes, "id").repartition(shuffle_partitions(members.sparkSession), "meeting")
     schema = pa.schema([("key", pa.int64()), ("id", pa.int64())])
     most = most_bits(similarity, MARGIN)
@@ -396,15 +397,14 @@ def _meetings(members: DataFrame, docs: DataFrame, block: int, words: int, simil
     A meeting of the others compares the whole sets of two blocks in its task
     and sends the links that join its members up, fewer than it has members;
     long sets make blocks smaller.  A member goes to as many meetings as there
-    are blocks: these get larger, up to ``LARGER`` times, before there are more
-    than ``SPREAD``.
+    are blocks.
     """
     ids = lambda: stored(members.select(F.col("id").alias("own")).distinct(), "near-ids")
     members = stored(_gathered(members), "near-members")
     members = _near_another(members, _lanes(docs, ids(), words) if lanes is None else lanes, block, similarity)
     sets = _sets(docs, ids(), words)
     weight = F.greatest(F.col("size"), F.ceil(F.col("shingles") / LONG))
-    dealt = _dealt(members, weight, lambda size: F.greatest(F.least(_in_blocks(size, block), F.lit(SPREAD)), _in_blocks(size, block * LARGER)))
+    dealt = _dealt(members, weight, lambda size: _in_blocks(size, block, SPREAD, LARGER))
     dealt = dealt.drop("key").join(sets, "id").repartition(shuffle_partitions(members.sparkSession), "meeting")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
